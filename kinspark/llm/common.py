@@ -37,6 +37,11 @@ def scratch_path(spark: SparkSession, what: str) -> str:
     return path
 
 
+def run_path(spark: SparkSession, what: str) -> str:
+    """A folder in the shared one for what outlives the scratch tables."""
+    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it back, so lost executors cost no recomputation."""
     path = scratch_path(df.sparkSession, what)

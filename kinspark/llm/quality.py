@@ -147,18 +147,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Net |
 
 
 def score_documents(df: DataFrame, net: Net | float, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """keep and score of each row. Only the text enters the score."""
+    """keep (the text may be among it) and score of each row. Only the text enters the score."""
     arrow_limits(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(net)  # tens of kilobytes
-    src = df.select(*[F.col(k) for k in keep], F.col(text_col).cast("binary").alias("_t"))
-    schema = src.drop("_t").withColumn("score", F.lit(0.0)).schema
+    src = df.select(*[F.col(k).alias(f"c{i}") for i, k in enumerate(keep)], *([] if text_col in keep else [F.col(text_col).alias("t")]))
+    text = f"c{keep.index(text_col)}" if text_col in keep else "t"
+    schema = src.drop("t").withColumn("s", F.lit(0.0)).schema
     for f in schema.fields:
         f.nullable = True
 
     def run(batches):
         for batch in batches:
-            texts = [t or b"" for t in batch.column("_t").to_pylist()]
+            texts = [(t or "").encode() for t in batch.column(text).to_pylist()]
             got = np.full(len(texts), shared.value) if isinstance(shared.value, float) else score(shared.value, texts)
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(got, pa.float64())], names=schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([*(batch.column(f"c{i}") for i in range(len(keep))), pa.array(got, pa.float64())], names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).toDF(*keep, "score")

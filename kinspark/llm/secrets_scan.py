@@ -144,3 +144,27 @@ def scan_documents(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
             yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
 
     return src.mapInArrow(run, schema)
+
+
+def redact_documents(df: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
+    """All rows and columns, the text redacted and, where it is, the count of its characters renewed."""
+    arrow_limits(df.sparkSession)
+    names = df.columns
+    src = df.toDF(*[f"c{i}" for i in range(len(names))])
+    schema = src.schema
+    for f in schema.fields:
+        f.nullable = True
+    at, chars = names.index(text_col), names.index(chars_col) if chars_col in names else None
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            new = [redact(t, scan(t)) for t in texts]
+            cols = list(batch.columns)
+            cols[at] = pa.array(new, cols[at].type)
+            if chars is not None:
+                old = batch.column(chars).to_pylist()
+                cols[chars] = pa.array([n if a is b or a == b else len(b) for a, b, n in zip(texts, new, old, strict=True)], cols[chars].type)
+            yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
+
+    return src.mapInArrow(run, schema).toDF(*names)

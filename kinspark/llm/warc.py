@@ -16,7 +16,7 @@ import struct
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,23 +38,25 @@ def _fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
-def record_id(page_id: int | None, row: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{page_id}:{row}'.encode()).digest()[:16], version=4)}>"
+def record_id(page_id: int | None, digest: str, nth: int) -> str:
+    """The identifier of the nth row with a page_id and payload."""
+    return f"<urn:uuid:{uuid.UUID(bytes=hashlib.sha256(f'{page_id}:{digest}:{nth}'.encode()).digest()[:16], version=4)}>"
 
 
 def _line(value: str) -> str:
     return "".join(c if " " < c != "\x7f" else "".join(f"%{b:02X}" for b in c.encode()) for c in value)
 
 
-def record(page_id, row, url, body: bytes, owner_page, owner_row) -> tuple[str, bytes]:
-    """A record's identifier and bytes; a revisit if it has an owner that isn't itself."""
-    rid, digest = record_id(page_id, row), hashlib.sha1(body).hexdigest()
-    revisit = owner_row is not None and owner_row != row
+def record(page_id, url, body: bytes, nth: int, copied: bool, owner_page) -> tuple[str, bytes]:
+    """A record's identifier and bytes; a revisit if the payload is copied and this isn't its first row with the owner's page_id."""
+    digest = hashlib.sha1(body).hexdigest()
+    rid = record_id(page_id, digest, nth)
+    revisit = copied and (page_id != owner_page or nth > 0)
     head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {rid}", "WARC-Date: 1970-01-01T00:00:00Z"]
-    head += [f"WARC-Target-URI: {_line(url)}"] * (url is not None) + [f"X-Page-Id: {page_id}"] * (page_id is not None)
+    head += ([f"WARC-Target-URI: {_line(url)}"] if url is not None else []) + [f"X-Page-Id: {page_id}"] * (page_id is not None)
     head += [f"WARC-Payload-Digest: sha1:{digest}", f"X-Payload-Length: {len(body)}"]
     if revisit:
-        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(owner_page, owner_row)}"]
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {record_id(owner_page, digest, 0)}"]
         head += [f"X-Refers-To-Page: {owner_page}"] * (owner_page is not None)
         body = b""
     head += ["Content-Type: text/html; charset=utf-8", f"Content-Length: {len(body)}"]
@@ -159,12 +161,23 @@ def write_archives(pages: DataFrame, out: str, revisit_from: int = REVISIT_FROM)
     spark = pages.sparkSession
     arrow_limits(spark)
     body = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), body.alias("body"), F.monotonically_increasing_id().alias("row"))
-    # small payloads get a key of their own, so no key is empty or common
-    rows = rows.withColumn("key", F.when(F.octet_length("body") >= revisit_from, F.sha2("body", 256)).otherwise(F.col("row").cast("string")))
-    owners = rows.filter(F.octet_length("body") >= revisit_from).groupBy("key").agg(F.count("*").alias("n"), F.max(F.struct("page_id", "row")).alias("owner")).filter("n > 1")
-    owners = materialise(owners.select("key", F.col("owner.page_id").alias("owner_page"), F.col("owner.row").alias("owner_row")), "warc-owners")
-    plan = rows.join(owners, "key", "left").select("page_id", "row", "url", "body", "owner_page", "owner_row")
+    # small payloads get keys of their own, so no key is empty or common for want of a payload
+    key = F.when(F.octet_length("body") >= revisit_from, F.sha2("body", 256)).otherwise(F.concat_ws(":", F.coalesce(F.col("page_id"), F.lit(0)), F.xxhash64("page_id", "url", "body")))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url"), body.alias("body")).withColumn("key", key).withColumn("large", F.octet_length("body") >= revisit_from)
+    counted = materialise(rows.groupBy("key", "large", "page_id").agg(F.count("*").alias("n")).filter("large or n > 1"), "warc-counts")
+    top = counted.filter("large").groupBy("key").agg(F.max(F.struct("page_id", "n")).alias("top"), F.sum("n").alias("rows")).filter("rows > 1")
+    owners = materialise(top.select("key", F.col("top.page_id").alias("owner_page"), F.lit(True).alias("copied")), "warc-owners")
+    planned = rows.join(owners, "key", "left")
+    again = counted.filter("n > 1").select(F.col("key").alias("again"), F.col("page_id").alias("again_page"))
+    if again.head(1):
+        # rows that repeat page_id and payload are numbered: the first may be the response, all get identifiers of their own
+        same = (F.col("key") == F.col("again")) & F.col("page_id").eqNullSafe(F.col("again_page"))
+        number = F.row_number().over(Window.partitionBy("key", "page_id").orderBy("url")) - 1
+        once = planned.join(again, same, "left_anti").withColumn("nth", F.lit(0))
+        planned = once.unionByName(planned.join(again, same, "left_semi").withColumn("nth", number))
+    else:
+        planned = planned.withColumn("nth", F.lit(0))
+    plan = planned.select("page_id", "url", "body", "nth", F.coalesce("copied", F.lit(False)).alias("copied"), "owner_page")
 
     def write(batches):
         names, writer = [f.name for f in INDEX.fields], None
@@ -172,7 +185,7 @@ def write_archives(pages: DataFrame, out: str, revisit_from: int = REVISIT_FROM)
         arrow = pa.schema([("record_id", pa.string()), ("page_id", pa.int64()), ("bundle", pa.string()), ("frame", pa.int32()), ("frame_start", pa.int64()), ("frame_bytes", pa.int32()), ("offset", pa.int64()), ("record_bytes", pa.int64())])
         for batch in batches:
             done = []
-            for x in zip(*(batch.column(c).to_pylist() for c in ("page_id", "row", "url", "body", "owner_page", "owner_row")), strict=True):
+            for x in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "body", "nth", "copied", "owner_page")), strict=True):
                 if writer is None:
                     writer = BundleWriter(f"{out}/bundles/{uuid.uuid4().hex}.warc.zst")
                 rid, data = record(*x)
