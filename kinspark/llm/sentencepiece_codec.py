@@ -24,8 +24,11 @@ from .common import arrow_limits
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Chunks that one worker remembers, the longest chunk worth remembering, and the whole texts of a batch that are checked.
-CACHE, LONGEST, WHOLE = 400_000, 48, 2
+#: Chunks of each of the two generations that a worker remembers, the longest worth remembering, and the whole texts of
+#: a batch that are checked.
+CACHE, LONGEST, WHOLE = 500_000, 48, 2
+#: Symbols up to which the agenda is a plain list, and the cost of a pair that makes no piece.
+SHORT, NEVER = 40, float("inf")
 
 
 def _varint(b: bytes, i: int) -> tuple[int, int]:
@@ -56,6 +59,27 @@ def _fields(b: bytes):
         yield key >> 3, value
 
 
+class _Known(dict):
+    """Packed ids by chunk. A chunk that neither generation knows is merged, and noted as fresh until it is checked."""
+
+    def __init__(self, merge):
+        self.merge, self.old, self.fresh = merge, {}, []
+
+    def __missing__(self, chunk: str) -> bytes:
+        b = self.old.get(chunk)
+        if b is None:
+            b = self.merge(chunk)
+            self.fresh.append((chunk, b))
+        if len(chunk) <= LONGEST:
+            self[chunk] = b
+        return b
+
+    def age(self) -> None:
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+
+
 class Codec:
     """Encoder of one model. begin and end are the ids around each text."""
 
@@ -83,16 +107,47 @@ class Codec:
         self.bytes = {int(p[3:5], 16): i for i, (p, _, t) in enumerate(pieces) if t == BYTE} if trainer.get(35, 0) else {}
         self.begin, self.end = self.library.bos_id(), self.library.eos_id()
         longer = [p for p in self.ids if len(p) > 1]
-        reach = set("".join(longer))
+        pairs = {p[i : i + 2] for p in longer for i in range(len(p) - 1)}  # neighbours that a merge can join
         self.chunks = None
-        if not any(SPACE in p.lstrip(SPACE) for p in longer) and "\n" not in reach and "\n" not in self.ids:
-            self.chunks = re.compile(f"[ {SPACE}]*[^ {SPACE}\n]+|[ {SPACE}]+|\n+").findall
-        self.known: dict[str, bytes] = {}
-        self.fresh: list[str] = []
+        if self.bytes and not any(SPACE in p.lstrip(SPACE) for p in longer) and not any("\n" in x for x in pairs):
+            # signs that pieces join to hardly any letter, figure or other character before them, and those exceptions
+            signs = {c for c in {x[1] for x in pairs} | set(self.ids) if len(c) == 1 and not c.isalnum() and c not in (SPACE, " ")}
+            before = {c: {x[0] for x in pairs if x[1] == c and x[0] != SPACE and x[0].isalnum()} for c in signs}
+            signs = {c for c in signs if len(before[c]) <= 3 and not any(x.isascii() for x in before[c])}
+            rare = {x[0] for x in pairs if x[1] in signs and x[0] not in signs and x[0] != SPACE}
+            sign, rare = ("".join(map(re.escape, sorted(x))) for x in (signs, rare))
+            word = f"[^ {SPACE}\n{sign}]+" + (f"(?:(?<=[{rare}])[{sign}]+[^ {SPACE}\n{sign}]*)*" if sign and rare else "")
+            self.chunks = re.compile((f"[ {SPACE}]*[{sign}]*{word}|[ {SPACE}]*[{sign}]+" if sign else f"[ {SPACE}]*{word}") + f"|[ {SPACE}]+|\n+").findall
+        self.known = _Known(self._packed)
 
     def merge(self, chunk: str) -> list[int]:
         """Ids of a text with escaped spaces."""
         sym = list(chunk)
+        return self._ids(self._short(sym) if len(sym) <= SHORT else self._long(sym))
+
+    def _packed(self, chunk: str) -> bytes:
+        ids = self.merge(chunk.replace(" ", SPACE))
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _short(self, sym: list[str]) -> list[str]:
+        """The agenda as a list, one cost for each adjacent pair in order: its least, leftmost entry is next."""
+        get = self.cost.get
+        agenda = [get(a + b, NEVER) for a, b in zip(sym, sym[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == NEVER:
+                break
+            i = agenda.index(best)
+            p = sym[i] = sym[i] + sym.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = get(p + sym[i + 1], NEVER)
+            if i:
+                agenda[i - 1] = get(sym[i - 1] + p, NEVER)
+        return sym
+
+    def _long(self, sym: list[str]) -> list[str]:
+        """The agenda as a heap, for texts in which a list would cost the square of the length."""
         n, cost = len(sym), self.cost
         nxt, prv = [*range(1, n), -1], [*range(-1, n - 1)]
         agenda = [(cost[p], i, i + 1, p) for i in range(n - 1) if (p := sym[i] + sym[i + 1]) in cost]
@@ -110,28 +165,20 @@ class Codec:
             z = prv[a]
             if z >= 0 and (q := sym[z] + p) in cost:
                 heappush(agenda, (cost[q], z, a, q))
+        return [s for s in sym if s is not None]
+
+    def _ids(self, symbols: list[str]) -> list[int]:
         out = []
-        for s in sym:
-            if s is not None:
-                i = self.ids.get(s)
-                if i is not None:
-                    out.append(i)
-                elif self.bytes:
-                    out += [self.bytes[x] for x in s.encode()]
-                elif not out or out[-1] != self.unknown:
-                    out.append(self.unknown)
+        for s in symbols:
+            i = self.ids.get(s)
+            if i is not None:
+                out.append(i)
+            elif self.bytes:
+                out += [self.bytes[x] for x in s.encode()]
+            elif not out or out[-1] != self.unknown:
+                out.append(self.unknown)
         return out
 
-    def _chunk(self, c: str) -> bytes:
-        b = self.known.get(c)
-        if b is None:
-            ids = self.merge(c.replace(" ", SPACE))
-            b = struct.pack(f"<{len(ids)}I", *ids)
-            if len(c) <= LONGEST:
-                self.known[c] = b
-            self.fresh.append(c)
-        return b
-
     def encode(self, text: str | None) -> bytes:
         """Ids, with those of begin and end, as little-endian unsigned 32-bit integers."""
         middle = b""
@@ -141,11 +188,7 @@ class Codec:
                 ids = self.merge(text.replace(" ", SPACE))
                 middle = struct.pack(f"<{len(ids)}I", *ids)
             else:
-                parts = self.chunks(text)
-                try:
-                    middle = b"".join(map(self.known.__getitem__, parts))
-                except KeyError:
-                    middle = b"".join(map(self._chunk, parts))
+                middle = b"".join(map(self.known.__getitem__, self.chunks(text)))
         return struct.pack("<I", self.begin) + middle + struct.pack("<I", self.end)
 
     def decode(self, ids: list[int]) -> str:
@@ -153,25 +196,17 @@ class Codec:
 
     def check(self, texts: list[str | None], encoded: list[bytes]) -> None:
         """Compare this batch's first-met chunks and its first whole texts with the library."""
-        for i in range(0, len(self.fresh), 5000):
-            part = self.fresh[i : i + 5000]
-            lead = len(self.library.encode("\n"))  # a line break lets nothing reach across
-            for c, ids in zip(part, self.library.encode(["\n" + c for c in part], num_threads=1), strict=True):
-                if struct.pack(f"<{len(ids) - lead}I", *ids[lead:]) != self._of(c):
+        fresh, lead = self.known.fresh, len(self.library.encode("\n"))  # a line break lets nothing reach across
+        for i in range(0, len(fresh), 5000):
+            part = fresh[i : i + 5000]
+            for (c, b), ids in zip(part, self.library.encode(["\n" + c for c, _ in part], num_threads=1), strict=True):
+                if struct.pack(f"<{len(ids) - lead}I", *ids[lead:]) != b:
                     raise ValueError(f"the agenda's ids differ from the library's for {c!r}")
-        self.fresh.clear()
+        fresh.clear()
         for t, b in list(zip(texts, encoded, strict=True))[:WHOLE]:
             if [self.begin, *self.library.encode(t or ""), self.end] != list(struct.unpack(f"<{len(b) // 4}I", b)):
                 raise ValueError("the agenda's ids of a whole text differ from the library's")
-        if len(self.known) > CACHE:
-            self.known.clear()
-
-    def _of(self, c: str) -> bytes:
-        b = self.known.get(c)
-        if b is None:
-            ids = self.merge(c.replace(" ", SPACE))
-            b = struct.pack(f"<{len(ids)}I", *ids)
-        return b
+        self.known.age()
 
 
 _codecs: dict[bytes, Codec] = {}
