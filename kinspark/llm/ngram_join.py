@@ -7,9 +7,11 @@ these enter the search for partners. Sizes bound the rest: a partner has between
 are gathered in blocks of rows with one pivot; a block's overlap counts are accumulated as a product of its rows with the
 pivot's column set, and pairs below the bound t / (1 + t) (n + m) are discarded.
 
-Groups are not expanded into all pairs. First every row of a column is paired with the column's least row (its pivot)
-alone, and links are closed to components; then only rows of one column that lie in different components are paired. No
-link between different components is lost, so components are exact; so is every row's number of links to pivots.
+Groups are not expanded into all pairs. First every row of a column is paired with the column's pivot alone (the row that
+shares most of its own columns: of edited copies, the original), and links are closed to components. Then, of the rows
+that share a pivot, those that lie in different components are compared in products of blocks of bounded size, spread over
+tasks; only links leave a product. No link between components is lost, so components are exact; links inside a component
+that are not needed to connect it are not formed.
 
 Words are runs of other characters than space, tab, line feed, vertical tab, form feed and carriage return, in lower case
 for A-Z alone; n-grams, sets and nodes are 64-bit hashes. Defined cases: null and empty texts have no n-grams and are
@@ -29,7 +31,9 @@ from pyspark.sql import functions as F
 from .common import arrow_limits, materialise
 
 #: Hash buckets of the n-gram counts, their slices, bytes hashed at a time, and n-grams of a block's rows that are aimed at.
-BUCKETS, SLICES, PIECE, BLOCK = 1 << 22, 64, 1 << 20, 400_000
+BUCKETS, SLICES, PIECE, BLOCK = 1 << 24, 64, 1 << 20, 400_000
+#: Rows of a product at most.
+ROWS = 800
 #: Documents needed for a product up to which their keys are broadcast to the scan of the texts; beyond, both are shuffled.
 KEYS = 500_000
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -129,15 +133,20 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 np.add.at(counts, np.concatenate(sets) & np.uint64(BUCKETS - 1), 1)
             n = len(sets)
             yield _arrow({"doc_id": batch.column("doc_id"), "x": batch.column("x"), "n": [len(s) for s in sets], "node": [node_of(s) if len(s) else None for s in sets], "slice": [None] * n, "counts": [None] * n}, schema)
-        packed = [zstandard.ZstdCompressor(level=1).compress(c.tobytes()) for c in counts.reshape(SLICES, -1)] if counts.any() else []
+        packed = [zstandard.ZstdCompressor(level=3).compress(np.minimum(c, 65535).astype(np.uint16).tobytes()) for c in counts.reshape(SLICES, -1)] if counts.any() else []
         n = len(packed)
         yield _arrow({"doc_id": [None] * n, "x": [None] * n, "n": [None] * n, "node": [None] * n, "slice": range(n), "counts": packed}, schema)
 
     return _texts(docs).mapInArrow(run, "doc_id long, x long, n int, node long, slice int, counts binary")
 
 
+def _rank(counts: np.ndarray) -> np.ndarray:
+    """Counts on a scale of 256 steps: exact to 31, then by sevenths of a doubling."""
+    return np.where(counts < 32, counts, np.minimum(255, 32 + 7 * np.log2(np.maximum(counts, 32) / 32))).astype(np.uint8)
+
+
 def _column_counts(sets: DataFrame) -> np.ndarray:
-    """The sum of the tasks' counts: 4 bytes for each bucket, whatever the input. Slices are added up apart."""
+    """The sums of the tasks' counts on a scale of 256 steps: a byte for each bucket, whatever the input. Slices are added up apart."""
 
     def run(batches):
         import zstandard
@@ -145,14 +154,14 @@ def _column_counts(sets: DataFrame) -> np.ndarray:
         total = {}
         for batch in batches:
             for k, c in zip(batch.column("slice").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                add = np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint32).astype(np.uint64)
+                add = np.frombuffer(zstandard.ZstdDecompressor().decompress(c), np.uint16).astype(np.uint64)
                 total[k] = total[k] + add if k in total else add
-        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([np.minimum(c, 2**32 - 1).astype(np.uint32).tobytes() for c in total.values()], pa.binary())], names=["slice", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([_rank(c).tobytes() for c in total.values()], pa.binary())], names=["slice", "counts"])
 
     rows = sets.filter("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(run, "slice int, counts binary").collect()
-    out = np.zeros((SLICES, BUCKETS // SLICES), np.uint32)
+    out = np.zeros((SLICES, BUCKETS // SLICES), np.uint8)
     for k, c in rows:
-        out[k] = np.frombuffer(c, np.uint32)
+        out[k] = np.frombuffer(c, np.uint8)
     return out.ravel()
 
 
@@ -179,18 +188,16 @@ def _postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) ->
     return _texts(docs).mapInArrow(run, "h long, node long, n int")
 
 
+def _prefix(n: str, percent: int):
+    return F.col(n) - F.ceil(F.col(n) * percent / 100) + 1
+
+
 def _near(a: str, b: str, percent: int):
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent) & (F.col(a) > 0)
 
 
-def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The candidate pairs (a: pivot, b) that are links, by blocked products of full rows with their pivots."""
-    spark = docs.sparkSession
-    load = pairs.groupBy("a").agg(F.sum("bn").alias("load"))
-    blocks = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / BLOCK)).cast("int").alias("k"))
-    blocks = materialise(blocks, "ngram-blocks")
-    wanted = blocks.select("a", "k", F.col("b").alias("node")).unionByName(blocks.select("a", "k", F.col("a").alias("node")).distinct())
-    nodes = blocks.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _full_rows(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, s: sorted n-gram hashes) of the nodes asked for, from the texts again; a task names a node once."""
     keys = materialise(sets.join(nodes, "node", "left_semi").groupBy("node").agg(F.min("x").alias("x")).select("x").distinct(), "ngram-keys")
     keys = F.broadcast(keys) if keys.count() <= KEYS else keys
 
@@ -198,10 +205,40 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
         seen = set()
         for batch in batches:
             got = [(node_of(s), s.tobytes()) for s in shingle_sets(batch.column("t").to_pylist(), words) if len(s)]
-            got = [g for i, g in enumerate(got) if g[0] not in seen and not seen.add(g[0])]
+            got = [g for g in got if g[0] not in seen and not seen.add(g[0])]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], names=["node", "s"])
 
-    full = _texts(docs).join(keys, "x", "left_semi").mapInArrow(rows, "node long, s binary")
+    return _texts(docs).join(keys, "x", "left_semi").mapInArrow(rows, "node long, s binary")
+
+
+def _by_group(df: DataFrame, keys: list[str], product) -> DataFrame:
+    """product, a function of a table to a table (a, b), of the rows of each group in turn. Groups are bounded by those who
+    make them; many small ones share a batch, which grouped Arrow functions would not let them."""
+
+    def run(batches):
+        held = None
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            t = t if held is None else pa.concat_tables([held, t])
+            cols = [t.column(k).to_numpy() for k in keys]
+            ends = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], axis=0)) + 1).tolist()] if t.num_rows else [0]
+            out = [product(t.slice(a, b - a)) for a, b in zip(ends, ends[1:])]
+            held = t.slice(ends[-1])
+            if out:
+                yield from pa.concat_tables(out).combine_chunks().to_batches()
+        if held is not None and held.num_rows:
+            yield from product(held).to_batches()
+
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, "a long, b long")
+
+
+def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The candidate pairs (a: pivot, b) that are links, by blocked products of full rows with their pivots."""
+    load = pairs.groupBy("a").agg(F.sum("bn").alias("load"))
+    blocks = pairs.join(load, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("load") / BLOCK)).cast("int").alias("k"))
+    blocks = materialise(blocks, "ngram-blocks")
+    wanted = blocks.select("a", "k", F.col("b").alias("node")).unionByName(blocks.select("a", "k", F.col("a").alias("node")).distinct())
+    full = _full_rows(docs, sets, blocks.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words)
     members = wanted.join(full, "node")
 
     def product(table: pa.Table) -> pa.Table:
@@ -219,7 +256,52 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
             out = [b for b, g in zip(by, good.tolist(), strict=True) if g]
         return pa.table({"a": pa.array([pivot] * len(out), pa.int64()), "b": pa.array(out, pa.int64())})
 
-    return members.groupBy("a", "k").applyInArrow(product, "a long, b long")
+    return _by_group(members.select("a", "k", "node", "s"), ["a", "k"], product)
+
+
+def _tiles(docs: DataFrame, sets: DataFrame, members: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) between the roots of each group. members: (g: group, node, n, root), of at least two roots each.
+
+    A group's rows are dealt to blocks of bounded size, those of its commonest root apart from the others; the products
+    of two blocks are formed unless both are of that root. Only links leave a product."""
+    by_root = members.groupBy("g", "root").agg(F.count("*").alias("c"), F.sum("n").alias("load"))
+    size = by_root.groupBy("g").agg(F.max(F.struct("c", "load", "root")).alias("top"), F.sum("c").alias("c"), F.sum("load").alias("load"))
+    blocks = lambda c, load: F.greatest(F.ceil(F.col(c) / (ROWS // 2)), F.ceil(F.col(load) / (BLOCK // 2))).cast("int")
+    size = size.select("g", F.col("top.root").alias("major"), (F.col("c") - F.col("top.c")).alias("rc"), (F.col("load") - F.col("top.load")).alias("rl"), F.col("top.c").alias("mc"), F.col("top.load").alias("ml"), "c", "load")
+    size = size.withColumn("one", (F.col("c") <= ROWS) & (F.col("load") <= BLOCK)).withColumn("few", F.when(F.col("one"), 1).otherwise(blocks("rc", "rl"))).withColumn("many", F.when(F.col("one"), 0).otherwise(blocks("mc", "ml")))
+    placed = members.join(materialise(size.select("g", "major", "one", "few", "many"), "ngram-groups"), "g")
+    hashed = F.xxhash64("node", "g")
+    minor = F.col("one") | (F.col("root") != F.col("major"))
+    placed = placed.withColumn("k", F.when(minor, F.pmod(hashed, F.col("few"))).otherwise(F.col("few") + F.pmod(hashed, F.greatest("many", F.lit(1)))).cast("int"))
+    partners = F.when(minor, F.sequence(F.lit(0), F.col("few") + F.col("many") - 1)).otherwise(F.sequence(F.lit(0), F.col("few") - 1))
+    dealt = placed.select("g", "node", "root", "k", F.explode(partners).alias("o"))
+    dealt = materialise(dealt.select("g", F.least("k", "o").alias("i"), F.greatest("k", "o").alias("j"), "node", "root"), "ngram-tiles")
+    full = _full_rows(docs, sets, members.select("node").distinct(), words)
+
+    def product(table: pa.Table) -> pa.Table:
+        by = {n: (r, s) for n, r, s in zip(*(table.column(c).to_pylist() for c in ("node", "root", "s")), strict=True)}
+        nodes, roots = np.array(list(by), np.int64), np.array([x[0] for x in by.values()], np.int64)
+        rows = [np.frombuffer(x[1], np.uint64) for x in by.values()]
+        sizes = np.array([len(r) for r in rows])
+        _, column, times = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+        shared = times > 1  # other columns add nothing to the product
+        number = np.cumsum(shared) - 1
+        row = np.repeat(np.arange(len(rows)), sizes)[shared[column]]
+        column = number[column[shared[column]]]
+        by_column = np.argsort(column, kind="stable")
+        row, column = row[by_column], column[by_column]
+        overlap = np.zeros((len(rows), len(rows)), np.float32)  # counts under 2^24 are exact
+        width = max(1, min(number[-1] + 1, PIECE // len(rows)))
+        for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+            lo, hi = np.searchsorted(column, (at, at + width))
+            part = np.zeros((len(rows), width), np.float32)
+            part[row[lo:hi], column[lo:hi] - at] = 1
+            overlap += part @ part.T
+        good = (100 + percent) * overlap.astype(np.int64) >= percent * (sizes[:, None] + sizes)
+        a, b = np.nonzero(good & (roots[:, None] != roots) & (nodes[:, None] < nodes))
+        return pa.table({"a": nodes[a], "b": nodes[b]})
+
+    return _by_group(dealt.join(full, "node").select("g", "i", "j", "node", "root", "s"), ["g", "i", "j"], product).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -244,30 +326,35 @@ def components(edges: DataFrame) -> DataFrame:
 
 def similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, x (hash of the text), n_shingles, component_id, root and n_links of every row of docs (doc_id, text). Rows
-    link when 100 x intersection >= percent x union; root names the component, n_links counts the links that were formed."""
+    link when 100 x intersection >= percent x union; root names the component, n_links counts the links that were formed
+    (those inside a component that others already connect are not)."""
     arrow_limits(docs.sparkSession)
     made = materialise(_sets(docs, words), "ngram-sets")
     counts = _column_counts(made)
     sets = made.filter("slice is null").select("doc_id", "x", "n", "node")
     postings = materialise(_postings(docs, counts, words, percent), "ngram-postings")
-    # columns of at least two rows, and their least row
-    shared = postings.groupBy("h").agg(F.min(F.struct("node", "n")).alias("p"), F.max("node").alias("last")).filter("p.node != last").select("h", F.col("p.node").alias("a"), F.col("p.n").alias("an"))
-    shared = materialise(shared, "ngram-columns")
-    live = materialise(postings.join(shared, "h"), "ngram-live")
+    # columns of at least two rows
+    shared = postings.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("h")
+    live = materialise(postings.join(materialise(shared, "ngram-columns"), "h", "left_semi").distinct(), "ngram-live")
+    # a column's pivot is the row that shares the largest part of its own search columns: of edited copies, the original
+    part = live.groupBy("node").agg((F.count("*") / F.max(_prefix("n", percent))).alias("part"))
+    ranked = live.join(materialise(part, "ngram-parts"), "node")
+    pivot = ranked.groupBy("h").agg(F.max(F.struct("part", "node", "n")).alias("p")).select("h", F.col("p.node").alias("a"), F.col("p.n").alias("an"))
+    live = materialise(live.join(materialise(pivot, "ngram-pivots"), "h"), "ngram-live")
     pivots = live.filter("node != a").filter(_near("an", "n", percent)).groupBy("a", F.col("node").alias("b")).agg(F.max("n").alias("bn"))
     pivots = materialise(pivots, "ngram-pairs")
     links = materialise(_verified(docs, sets, pivots, words, percent), "ngram-links")
     roots = materialise(components(links), "ngram-roots")
-    # columns whose rows lie in several components: their pairs across components that no pivot has decided
-    known = materialise(live.select("h", "node", "n").distinct().join(roots, "node", "left").select("h", "node", "n", F.coalesce("root", "node").alias("root")), "ngram-known")
-    open_columns = known.groupBy("h").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("h")
-    rest = materialise(known.join(open_columns, "h", "left_semi"), "ngram-open")
-    one = rest.select("h", F.col("node").alias("a"), F.col("n").alias("an"), F.col("root").alias("ar"))
-    two = rest.select("h", F.col("node").alias("b"), F.col("n").alias("bn"), F.col("root").alias("br"))
-    across = one.join(two, (one["h"] == two["h"]) & (F.col("a") < F.col("b")) & (F.col("ar") != F.col("br")) & _near("an", "bn", percent)).groupBy("a", "b").agg(F.max("bn").alias("bn"))
-    across = materialise(across.join(pivots.select("a", "b"), ["a", "b"], "left_anti"), "ngram-pairs")
-    if across.head(1):
-        links = materialise(links.unionByName(_verified(docs, sets, across, words, percent)), "ngram-links")
+    # columns whose rows, but for the pivot, lie in several components: what no pivot has decided
+    known = live.filter("node != a").join(roots, "node", "left").select("h", "a", "node", "n", F.coalesce("root", "node").alias("root"))
+    # partners differ in size by one class at most, so each is in a class that both are dealt to
+    step = F.floor(F.log("n") / F.log(F.lit(100.0 / percent)) + 1e-9).cast("int") if percent < 100 else F.col("n")
+    known = materialise(known.withColumn("c", F.explode(F.array(step, step + 1))), "ngram-known")
+    undecided = known.groupBy("h", "c").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("h", "c")
+    members = known.join(undecided, ["h", "c"], "left_semi").select(F.xxhash64("a", "c").alias("g"), "node", "n", "root").distinct()
+    members = materialise(members, "ngram-members")
+    if members.head(1):
+        links = materialise(links.unionByName(_tiles(docs, sets, members, words, percent)), "ngram-links")
         roots = materialise(components(links), "ngram-roots")
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     # ids: a set's least doc_id, then a component's
