@@ -36,6 +36,8 @@ BUCKETS, SLICES, PIECE, BLOCK = 1 << 24, 64, 1 << 20, 400_000
 ROWS = 800
 #: Documents needed for a product up to which their keys are broadcast to the scan of the texts; beyond, both are shuffled.
 KEYS = 500_000
+#: Columns of several rows up to which they are broadcast to the search entries (8 bytes each); beyond, both are shuffled.
+COLUMNS = 2_000_000
 BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
@@ -211,6 +213,11 @@ def _full_rows(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int) -
     return _texts(docs).join(keys, "x", "left_semi").mapInArrow(rows, "node long, s binary")
 
 
+def _small(keys: DataFrame) -> DataFrame:
+    """Destinations of rows: broadcast up to KEYS of them, so that full rows are shuffled once."""
+    return F.broadcast(keys) if keys.count() <= KEYS else keys
+
+
 def _by_group(df: DataFrame, keys: list[str], product) -> DataFrame:
     """product, a function of a table to a table (a, b), of the rows of each group in turn. Groups are bounded by those who
     make them; many small ones share a batch, which grouped Arrow functions would not let them."""
@@ -239,7 +246,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
     blocks = materialise(blocks, "ngram-blocks")
     wanted = blocks.select("a", "k", F.col("b").alias("node")).unionByName(blocks.select("a", "k", F.col("a").alias("node")).distinct())
     full = _full_rows(docs, sets, blocks.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words)
-    members = wanted.join(full, "node")
+    members = full.join(_small(materialise(wanted, "ngram-wanted")), "node")
 
     def product(table: pa.Table) -> pa.Table:
         pivot = table.column("a")[0].as_py()
@@ -301,7 +308,7 @@ def _tiles(docs: DataFrame, sets: DataFrame, members: DataFrame, words: int, per
         a, b = np.nonzero(good & (roots[:, None] != roots) & (nodes[:, None] < nodes))
         return pa.table({"a": nodes[a], "b": nodes[b]})
 
-    return _by_group(dealt.join(full, "node").select("g", "i", "j", "node", "root", "s"), ["g", "i", "j"], product).distinct()
+    return _by_group(full.join(_small(dealt), "node").select("g", "i", "j", "node", "root", "s"), ["g", "i", "j"], product).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -335,7 +342,9 @@ def similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     postings = materialise(_postings(docs, counts, words, percent), "ngram-postings")
     # columns of at least two rows
     shared = postings.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("h")
-    live = materialise(postings.join(materialise(shared, "ngram-columns"), "h", "left_semi").distinct(), "ngram-live")
+    shared = materialise(shared, "ngram-columns")
+    shared = F.broadcast(shared) if shared.count() <= COLUMNS else shared
+    live = materialise(postings.join(shared, "h", "left_semi").distinct(), "ngram-live")
     # a column's pivot is the row that shares the largest part of its own search columns: of edited copies, the original
     part = live.groupBy("node").agg((F.count("*") / F.max(_prefix("n", percent))).alias("part"))
     ranked = live.join(materialise(part, "ngram-parts"), "node")
