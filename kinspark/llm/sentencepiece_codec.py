@@ -26,7 +26,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 #: Chunks of each of the two generations that a worker remembers, the longest worth remembering, and the whole texts of
 #: a batch that are checked.
-CACHE, LONGEST, WHOLE = 500_000, 48, 2
+CACHE, LONGEST, WHOLE = 250_000, 48, 2
 #: Symbols up to which the agenda is a plain list, and the cost of a pair that makes no piece.
 SHORT, NEVER = 40, float("inf")
 
