@@ -16,6 +16,7 @@ import re
 import struct
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -233,12 +234,17 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
             texts = batch.column("_t").to_pylist()
             enc = [c.encode(t) for t in texts]
             c.check(texts, enc)
-            lists = [list(struct.unpack(f"<{len(b) // 4}I", b)) for b in enc]
-            dec = [c.decode(x) for x in lists]
+            dec, digests = [] if with_text else None, []
+            for b in enc:  # one text's ids as Python numbers at a time
+                d = c.decode(list(struct.unpack(f"<{len(b) // 4}I", b)))
+                digests.append(hashlib.sha256(d.encode()).hexdigest())
+                if with_text:
+                    dec.append(d)
             cols = [batch.column(k) for k in keep]
-            cols += [pa.array([len(b) // 4 for b in enc], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in enc], pa.string()), pa.array([hashlib.sha256(d.encode()).hexdigest() for d in dec], pa.string())]
+            cols += [pa.array([len(b) // 4 for b in enc], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in enc], pa.string()), pa.array(digests, pa.string())]
             if with_ids:
-                cols.append(pa.array(lists, pa.list_(pa.int32())))
+                ends = np.cumsum([0, *(len(b) // 4 for b in enc)], dtype=np.int32)
+                cols.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(enc), "<i4"))))
             if with_text:
                 cols.append(pa.array(dec, pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
