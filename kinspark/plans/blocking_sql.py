@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from .linkage_sql import PAIRS
 
-SPARK = {"WORDS": "EXPLODE(SPLIT(LOWER(text), '[^a-z]+'))", "FIGURES": "EXPLODE(SPLIT(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '')"}
-STANDARD = {"WORDS": "UNNEST(string_split_regex(LOWER(text), '[^a-z]+'))", "FIGURES": "UNNEST(string_split_regex(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '', 'g')"}
+SPARK = {"WORDS": "EXPLODE(SPLIT(LOWER(text), '[^a-z]+'))", "FIGURES": "EXPLODE(SPLIT(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '')", "GRID": "EXPLODE(SEQUENCE(1, 97))"}
+STANDARD = {"WORDS": "UNNEST(string_split_regex(LOWER(text), '[^a-z]+'))", "FIGURES": "UNNEST(string_split_regex(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '', 'g')", "GRID": "UNNEST(RANGE(1, 98))"}
 
 _DOCUMENT_WORDS = "dw AS (SELECT DISTINCT doc_id, lang, tok FROM (SELECT doc_id, lang, {WORDS} AS tok FROM documents) x WHERE LENGTH(tok) >= 2)"
 _ITEM_WORDS = "iw AS (SELECT DISTINCT item_id, tok FROM (SELECT item_id, {WORDS} AS tok FROM benchmark) x WHERE LENGTH(tok) >= 2)"
@@ -27,7 +27,7 @@ c AS (SELECT ent, g, SUM(tp) OVER (PARTITION BY ent) AS n_true,
         SUM(n) OVER (PARTITION BY ent ORDER BY g DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM b),
 f AS (SELECT ent, g, n_true, CASE WHEN ctp = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(1.25 AS DOUBLE) * ctp / (CAST(0.25 AS DOUBLE) * n_true + cn) END AS f FROM c),
 d AS (SELECT g, f - COALESCE(LAG(f) OVER (PARTITION BY ent ORDER BY g DESC), CASE WHEN n_true = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END) AS delta FROM f),
-s AS (SELECT g, SUM(delta) AS delta FROM d GROUP BY g),
+s AS (SELECT g, SUM(delta) AS delta FROM (SELECT g, delta FROM d UNION ALL SELECT {{GRID}} AS g, CAST(0 AS DOUBLE) AS delta) u GROUP BY g),
 t AS (SELECT COUNT(*) AS entities FROM orders),
 z AS (SELECT SUM(CASE WHEN COALESCE(q.n_true, 0) = 0 THEN 1 ELSE 0 END) AS f0 FROM orders LEFT JOIN (SELECT ent, SUM(label) AS n_true FROM pairs GROUP BY ent) q ON q.ent = o_orderkey)
 SELECT CAST(g AS BIGINT) AS threshold_percent,
@@ -46,9 +46,10 @@ im AS (SELECT item_id, COUNT(*) AS n, SUM(idf) AS w FROM ik GROUP BY item_id)
 SELECT one.doc_id, one.item_id, CAST(one.n_shared AS BIGINT) AS common, CAST(dn.n - one.n_shared AS BIGINT) AS only1, CAST(im.n - one.n_shared AS BIGINT) AS only2,
        ROUND(one.score, 4) AS winter, ROUND(one.score / im.w, 4) AS wcont2, ROUND(CAST(one.n_shared AS DOUBLE) / (dn.n + im.n - one.n_shared), 6) AS jaccard
 FROM one JOIN dn ON dn.doc_id = one.doc_id JOIN im ON im.item_id = one.item_id""",
-    "numeric_overlap": """WITH f AS (SELECT DISTINCT conv_id, role, num FROM (SELECT conv_id, role, {FIGURES} AS num FROM conversations) x WHERE LENGTH(num) > 0)
-SELECT conv_id, CAST(SUM(CASE WHEN n > 1 THEN 1 ELSE 0 END) AS BIGINT) AS common, CAST(SUM(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS lone
-FROM (SELECT conv_id, num, COUNT(*) AS n FROM f GROUP BY conv_id, num) y GROUP BY conv_id""",
+    "numeric_overlap": """WITH f AS (SELECT DISTINCT doc_id, num FROM (SELECT doc_id, {FIGURES} AS num FROM documents) x WHERE LENGTH(num) > 0),
+n AS (SELECT num, COUNT(*) AS df FROM f GROUP BY num)
+SELECT f.doc_id, CAST(SUM(CASE WHEN n.df > 1 THEN 1 ELSE 0 END) AS BIGINT) AS common, CAST(SUM(CASE WHEN n.df = 1 THEN 1 ELSE 0 END) AS BIGINT) AS lone
+FROM f JOIN n ON n.num = f.num GROUP BY f.doc_id""",
     "simple_key": "SELECT page_id, {URLKEY} AS url_key FROM pages",
     "name_frequency": "SELECT p_name, CAST(COUNT(*) AS BIGINT) AS n, ROUND(LN(CAST(1 + COUNT(*) AS DOUBLE)), 6) AS name_freq FROM part GROUP BY p_name",
     "levenshtein_pairs": "SELECT a.n_nationkey AS a, b.n_nationkey AS b, CAST(LEVENSHTEIN(a.n_name, b.n_name) AS BIGINT) AS distance FROM nation a JOIN nation b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey",
