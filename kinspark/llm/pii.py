@@ -6,7 +6,9 @@ separators) gets one surrogate, derived from a secret key by SHA-256, that keeps
 and, for names, the last letter that carries the gender; cards stay valid and keep their
 first digit, as international telephone numbers do; addresses keep their top-level domain. A
 surrogate that two values share, or that is itself a value of the corpus, is derived anew until none is left: distinct
-values stay distinct, equal ones stay equal, in every document. Occurrences keep their case and separators.
+values stay distinct, equal ones stay equal, in every document. Occurrences keep their case and separators. A value that
+finds no surrogate of its own length in ATTEMPTS derivations gets longer ones (letters behind the first, digits at the
+end, for cards before the check digit, a further octet), by one with each derivation, so every value finds one.
 
 Defined cases: null texts stay null; texts without findings stay as they are; repeated rows and null doc_ids are rows of
 their own; values that only look like cards stay.
@@ -14,6 +16,10 @@ their own; values that only look like cards stay.
 
 from __future__ import annotations
 
+import functools
+import sys
+import unicodedata
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,15 +41,16 @@ PATTERNS = {
 FOUND = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Without a sign of this, a text holds nothing that the patterns find.
 HINT = rf"[0-9@]|(?=[{''.join(sorted({x[0] for x in ADDRESS.split('|')}))}])(?:{ADDRESS})\.? \p{{Lu}}"
-# Letters by script and class; a letter's surrogate comes from its own class.
+# Letters by script and class; a letter's surrogate comes from its own class. Signs outside these: see _runs.
 LETTERS = (
-    "aeiou", "bcdfghjklmnprstvwz", "áéíóúàèìòùâêîôûäëïöü", "ñçšžčř", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ",
-    "אבגדהוזחטיכלמנסעפצקרשת", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह", "あいうえおかきくけこさしすせそたちつてとなにぬねの", "アイウエオカキクケコサシスセソタチツテトナニヌネノ",
-    "김이박최정강조윤장임한오서신권황안송류홍", "王李張刘陈杨黄赵吴周徐孙马朱胡郭何林高罗",
+    "aeiou", "bcdfghjklmnpqrstvwxyz", "áéíóúàèìòùâêîôûäëïöüãõåæøœ", "ñçšžčřćńśźżłđğş", "аеиоуыэюя", "бвгджзклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ",
+    "אבגדהוזחטיכלמנסעפצקרשת", "ابتثجحخدذرزسشصضطظعغفقكلمنهوي", "कखगघचछजझटठडढतथदधनपफबभमयरलवशषसह",
 )
 DIGITS = ("ssn", "card", "phone")
-#: Derivations of one value before the corpus counts as too crowded.
+#: Derivations of one value at its own length before its surrogates grow.
 ATTEMPTS = 50
+#: Signs below which a run is too narrow to draw surrogates from.
+NARROW = 8
 
 
 def _luhn(digits: str) -> str:
@@ -71,31 +78,70 @@ def _random(i: str) -> str:
     return f"CAST(conv(substring(sha2(concat_ws('|', secret, kind, canon, attempt, {i}), 256), 1, 8), 16, 10) AS BIGINT)"
 
 
+@functools.cache
+def _runs() -> str:
+    """SQL: runs of neighbouring letters and figures (s to e) of one script and class that a small letter can be found in, and where
+    their surrogates come from (n code points from f): the run itself, or a wider one of the script, or a to z."""
+    runs, key = [], None
+    for x in range(128, sys.maxunicode + 1):
+        c = chr(x)
+        kind = unicodedata.category(c)
+        if kind[0] not in "LN" or c.lower() != c:
+            key = None
+            continue
+        # small letters that are not what their capital's small letter is (or have no one capital) would not come back
+        good = kind != "Ll" or len(c.upper()) == 1 and c.upper() != c and c.upper().lower() == c
+        now = (unicodedata.name(c, "").split("-")[0].split(" ")[0], kind, good)
+        if now == key:
+            runs[-1][1] = x
+        else:
+            runs.append([x, x, now])
+        key = now
+    wide: dict[tuple, tuple] = {}
+    for s, e, k in runs:
+        if k[2] and e - s >= wide.get(k[:2], (0, NARROW - 1))[1] - 1:
+            wide[k[:2]] = (s, e - s + 1)
+    rows = [(s, e, *((s, e - s + 1) if k[2] and e - s + 1 >= NARROW else wide.get(k[:2], (97, 26)))) for s, e, k in runs]
+    column = lambda j: f"array({', '.join(str(r[j]) for r in rows)})"
+    return f"transform(arrays_zip({', '.join(column(j) for j in range(4))}), r -> named_struct('s', r.`0`, 'e', r.`1`, 'f', r.`2`, 'n', r.`3`))"
+
+
 def _derived() -> str:
-    """SQL: the surrogate's canonical form."""
+    """SQL: the surrogate's canonical form, derived from base: canon, or canon made longer."""
     pick = lambda alphabet, i: f"substring('{alphabet}', CAST({_random(i)} % {len(alphabet)} AS INT) + 1, 1)"
     letter = " ".join(f"WHEN instr('{a}', c) > 0 THEN {pick(a, 'i')}" for a in LETTERS)
-    kept = "(kind = 'email' AND i >= length(canon) - instr(reverse(canon), '.')) OR (kind = 'name' AND i > 1 AND i = length(canon) - 1)"
-    words = f"array_join(transform(split(canon, ''), (c, i) -> CASE WHEN {kept} THEN c WHEN c RLIKE '[0-9]' THEN {pick('0123456789', 'i')} {letter} ELSE c END), '')"
-    digits = f"array_join(transform(split(canon, ''), (c, i) -> CASE WHEN c = '+' OR i = 0 AND (kind = 'card' OR c = '0') OR i = 1 AND canon LIKE '+%' THEN c WHEN i = 0 THEN {pick('123456789', 'i')} ELSE {pick('0123456789', 'i')} END), '')"
-    octets = f"array_join(transform(split(canon, '[.]'), (c, i) -> CAST(CASE WHEN i = 0 THEN 1 + {_random('i')} % 223 ELSE {_random('i')} % 256 END AS STRING)), '.')"
-    body = f"transform(array(substring({digits}, 1, length(canon) - 1)), d -> concat(d, CAST((10 - aggregate(transform(split(reverse(d), ''), (c, i) -> CASE WHEN i % 2 = 1 THEN int(c) ELSE int(c) * 2 - CASE WHEN int(c) > 4 THEN 9 ELSE 0 END END), 0, (a, b) -> a + b) % 10) % 10 AS STRING)))[0]"
+    other = f"coalesce(get(transform(filter(runs, r -> ascii(c) BETWEEN r.s AND r.e), r -> decode(unhex(lpad(hex(r.f + {_random('i')} % r.n), 8, '0')), 'UTF-32')), 0), c)"
+    kept = "(kind = 'email' AND i >= length(base) - instr(reverse(base), '.')) OR (kind = 'name' AND i > 1 AND i = length(base) - 1)"
+    words = f"array_join(transform(split(base, ''), (c, i) -> CASE WHEN {kept} THEN c WHEN c RLIKE '[0-9]' THEN {pick('0123456789', 'i')} {letter} WHEN c RLIKE '[^\\\\x00-\\\\x7f]' THEN {other} ELSE c END), '')"
+    digits = f"array_join(transform(split(base, ''), (c, i) -> CASE WHEN c = '+' OR i = 0 AND (kind = 'card' OR c = '0') OR i = 1 AND base LIKE '+%' THEN c WHEN i = 0 THEN {pick('123456789', 'i')} ELSE {pick('0123456789', 'i')} END), '')"
+    octets = f"array_join(transform(split(base, '[.]'), (c, i) -> CAST(CASE WHEN i = 0 THEN 1 + {_random('i')} % 223 ELSE {_random('i')} % 256 END AS STRING)), '.')"
+    body = f"transform(array(substring({digits}, 1, length(base) - 1)), d -> concat(d, CAST((10 - aggregate(transform(split(reverse(d), ''), (c, i) -> CASE WHEN i % 2 = 1 THEN int(c) ELSE int(c) * 2 - CASE WHEN int(c) > 4 THEN 9 ELSE 0 END END), 0, (a, b) -> a + b) % 10) % 10 AS STRING)))[0]"
     return f"CASE WHEN kind = 'card' THEN {body} WHEN kind IN ('ssn', 'phone') THEN {digits} WHEN kind = 'ip' THEN {octets} ELSE {words} END"
 
 
+def _base(more: int) -> str:
+    """SQL: canon, longer by so many places."""
+    like = "coalesce(nullif(regexp_extract(canon, '[a-z]', 0), ''), nullif(regexp_extract(canon, '\\\\p{L}', 0), ''), 'b')"
+    return f"CASE WHEN kind IN ('ssn', 'card', 'phone') THEN concat(canon, repeat('1', {more})) WHEN kind = 'ip' THEN concat(canon, repeat('.1', {more})) ELSE concat(left(canon, 1), repeat({like}, {more}), substring(canon, 2)) END"
+
+
 def _laid_out() -> str:
-    """SQL: the surrogate with an occurrence's case and separators."""
-    digits = "array_join(transform(split(found, ''), (c, i) -> CASE WHEN c RLIKE '[0-9]' THEN substring(regexp_replace(surrogate, '[^0-9]', ''), length(regexp_replace(left(found, i + 1), '[^0-9]', '')), 1) ELSE c END), '')"
-    words = "array_join(transform(split(found, ''), (c, i) -> CASE WHEN c != lower(c) THEN upper(substring(surrogate, i + 1, 1)) ELSE substring(surrogate, i + 1, 1) END), '')"
-    return f"CASE WHEN kind = 'ip' OR kind IN ('email', 'name') AND length(found) != length(surrogate) THEN surrogate WHEN kind IN ('email', 'name') THEN {words} ELSE {digits} END"
+    """SQL: the surrogate with an occurrence's case and separators; what it is longer by follows the first letter or the last digit."""
+    figures = "regexp_replace(surrogate, '[^0-9]', '')"
+    digits = f"concat(array_join(transform(split(found, ''), (c, i) -> CASE WHEN c RLIKE '[0-9]' THEN substring({figures}, length(regexp_replace(left(found, i + 1), '[^0-9]', '')), 1) ELSE c END), ''), substring({figures}, length(regexp_replace(found, '[^0-9]', '')) + 1))"
+    more = "(length(surrogate) - length(canon))"
+    words = f"concat(array_join(transform(split(found, ''), (c, i) -> CASE WHEN c != lower(c) THEN upper(substring(surrogate, i + 1 + CASE WHEN i = 0 THEN 0 ELSE {more} END, 1)) ELSE substring(surrogate, i + 1 + CASE WHEN i = 0 THEN 0 ELSE {more} END, 1) END || CASE WHEN i > 0 THEN '' WHEN found = upper(found) THEN upper(substring(surrogate, 2, {more})) ELSE substring(surrogate, 2, {more}) END), ''))"
+    whole = "CASE WHEN kind = 'name' THEN concat(upper(left(surrogate, 1)), substring(surrogate, 2)) ELSE surrogate END"
+    return f"CASE WHEN kind = 'ip' THEN surrogate WHEN kind IN ('email', 'name') AND length(found) != length(canon) THEN {whole} WHEN kind IN ('email', 'name') THEN {words} ELSE {digits} END"
 
 
 def surrogates(values: DataFrame, secret: str) -> DataFrame:
     """kind, canon and surrogate of each distinct value: no two alike, none a value itself."""
     values = materialise(values.distinct(), "pii-values")
     todo, done, attempt = values, None, 0
-    while attempt < ATTEMPTS:
-        made = todo.withColumn("secret", F.lit(secret)).withColumn("attempt", F.lit(attempt)).withColumn("surrogate", F.expr(_derived())).select("kind", "canon", "surrogate")
+    while True:
+        made = todo.withColumns({"secret": F.lit(secret), "attempt": F.lit(attempt), "base": F.expr(_base(max(0, attempt - ATTEMPTS + 1))), "runs": F.expr(_runs())})
+        made = made.withColumn("surrogate", F.expr(_derived())).select("kind", "canon", "surrogate")
         known = values.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("_real"))
         taken = made.withColumn("_new", F.lit(1))
         taken = taken if done is None else taken.unionByName(done.withColumn("_new", F.lit(0)))
@@ -107,7 +153,6 @@ def surrogates(values: DataFrame, secret: str) -> DataFrame:
         if not todo.head(1):
             return done
         attempt += 1
-    raise ValueError("no distinct surrogates were found")
 
 
 def replace_documents(df: DataFrame, secret: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

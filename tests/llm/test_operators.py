@@ -152,6 +152,21 @@ def test_pii(spark):
     assert got[2].text is None and got[3].text == "" and got[4].text == "plain"
 
 
+def test_pii_finds_a_surrogate_for_every_value(spark, monkeypatch):
+    monkeypatch.setattr(pii, "ATTEMPTS", 2)
+    names = [a + b for a in "BCDFGHJKLMNPRSTVWXYZ" for b in "aeiou"]  # more than half of the forms of their length
+    odd = ["xxx@xxx.com", "x@y.com", "xx@qq.com", "漢字東@仮名京.com", "한글@글.kr", "สม@ชา.th", "٣٤@٥.org", "𠀁𠀂@𠀃.com", "-@-.com"]
+    rows = [(i, f"Mr {n} or Mr {n.upper()}") for i, n in enumerate(names)] + [(1000 + i, x) for i, x in enumerate(odd)] + [(2000, "Mr Xy, Mr Արամ"), (2001, "call +12222 or +1 2223")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in pii.replace_documents(df, "k").collect()}
+    new = [re.fullmatch(r"Mr (\w+) or Mr (\w+)", got[i]).groups() for i in range(len(names))]
+    assert all(a.upper() == b and a[0].isupper() and a[1:].islower() for a, b in new)
+    assert len({a for a, _ in new}) == len(names) and not {a for a, _ in new} & {*names, "Xy"}
+    assert all(got[1000 + i] != x and got[1000 + i].count("@") == 1 and got[1000 + i][-3:] == x[-3:] for i, x in enumerate(odd))
+    assert not {c for i in (3, 4, 7) for c in got[1000 + i]} & set("漢字東仮名京한𠀁𠀂𠀃")
+    assert "Xy" not in got[2000] and "Արամ" not in got[2000] and "2222" not in got[2001]
+
+
 def test_fingerprints(docs):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).collect()), reverse=True)
     got = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs.filter("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
