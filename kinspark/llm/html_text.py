@@ -36,6 +36,22 @@ SKIPPED = frozenset("script style noscript template textarea select option butto
 BOILERPLATE = frozenset("nav header footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
+# Elements that a start tag closes where they are open above the last of the others, as HTML has it.
+_ROWS, _SPECIAL = ("table", "template", "html"), tuple(sorted((BLOCKS | {"button", "object", "select", "template"}) - {"address", "br", "dd", "div", "dt", "hr", "li", "p"}))
+CLOSES = {
+    "li": (("li",), _SPECIAL),
+    "dt": (("dt", "dd"), _SPECIAL),
+    "dd": (("dt", "dd"), _SPECIAL),
+    "option": (("option",), ("select", "datalist", "optgroup")),
+    "optgroup": (("option", "optgroup"), ("select",)),
+    "td": (("td", "th"), _ROWS),
+    "th": (("td", "th"), _ROWS),
+    "tr": (("td", "th", "tr"), _ROWS),
+    "tbody": (("td", "th", "tr", "tbody", "thead", "tfoot", "caption"), _ROWS),
+}
+CLOSES["thead"] = CLOSES["tfoot"] = CLOSES["tbody"]
+ENDS_P = BLOCKS - frozenset("body br caption head html tbody td tfoot th thead tr".split())
+_AROUND_P = ("table", "td", "th", "caption", "button", "object", "template", "html")
 MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|disclaimer|footer|header|legal|login|masthead|menu|modal|nav(?:bar|igation)?|newsletter|notice|pager|pagination|popup|promo\w*|related|replies|respond|share|sharing|sidebar|signup|skip|social|sponsor\w*|subscribe|toolbar|widget)(?:$|[\s_-])", re.I)
 #: Characters below which a block is short and from which it is long; stop-word shares; the share of characters in links.
 SHORT, LONG, LOW, HIGH, LINKS = 70, 200, 0.12, 0.25, 0.33
@@ -60,8 +76,22 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
     out: list[_Block] = []
     stack: list[tuple[str, bool, bool, bool]] = []  # element, skipped, inside article, boilerplate
     skipped = inside = boiler = False
+    places: dict[str, list[int]] = {}  # of each element's open ones on the stack
     links = 0
     now = _Block(False, False)
+
+    def close(i: int) -> None:
+        while len(stack) > i:
+            places[stack.pop()[0]].pop()
+
+    def close_implied(names: tuple[str, ...], around: tuple[str, ...]) -> None:
+        if any(places.get(x) for x in names):
+            floor = max((places[x][-1] for x in around if places.get(x)), default=-1)
+            inner = [i for x in names for i in places.get(x, ())[-1:] if i > floor]
+            while inner:
+                close(min(inner))
+                inner = [i for x in names for i in places.get(x, ())[-1:] if i > floor]
+
     at, n, match = 0, len(page), _TOKEN.match
     while at < n:
         m = match(page, at)
@@ -82,10 +112,9 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
             if name in BLOCKS:
                 out.append(now)
                 now = None
-            for i in range(len(stack) - 1, max(-1, len(stack) - 64), -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
+            # one of a phrase, as </b>, never closes the article it stands in
+            if places.get(name) and (name in BLOCKS or name in SKIPPED or all(places[x][-1] < places[name][-1] for x in ("article", "main") if places.get(x))):
+                close(places[name][-1])
             skipped, inside, boiler = stack[-1][1:] if stack else (False, False, False)
             now = now or _Block(inside, boiler)
             continue
@@ -95,17 +124,21 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
             end = re.compile(f"</{name}\\s*>|\\Z", re.I).search(page, at)
             at = end.end()
             continue
+        if name in ENDS_P:
+            close_implied(("p",), _AROUND_P)
+        if name in CLOSES:
+            close_implied(*CLOSES[name])
+        if name in BLOCKS or name in CLOSES:
+            skipped, inside, boiler = stack[-1][1:] if stack else (False, False, False)
         if name in BLOCKS:
             out.append(now)
-            if name == "p" and stack and stack[-1][0] == "p":
-                stack.pop()
-            skipped, inside, boiler = stack[-1][1:] if stack else (False, False, False)
             links = links if name == "br" else 0
         if name not in VOID and not m[3].endswith("/"):
             marks = " ".join(x for y in _MARKED.findall(m[3]) for x in y)
             main = name in ("article", "main") or "articlebody" in m[3].lower()
             bad = name in BOILERPLATE and not (name == "header" and inside) or bool(marks and name != "body" and MARKS.search(marks))
             skipped, boiler, inside = skipped or name in SKIPPED, boiler or bad, inside or main
+            places.setdefault(name, []).append(len(stack))
             stack.append((name, skipped, inside, boiler))
         if name in BLOCKS:
             now = _Block(inside, boiler)

@@ -193,6 +193,20 @@ def test_html():
     assert html_text.main_text(None) == "" and html_text.main_text("<p>The cut of the page is in the middle of the <a hre") in ("", "The cut of the page is in the middle of the")
 
 
+def test_html_end_tags_at_any_depth():
+    story = "<p>It is the story of a man and the sea and of all that was in it for him and for the ones who were with her.</p>"
+    text = "It is the story of a man and the sea and of all that was in it for him and for the ones who were with her."
+    for opened in ("<select>" + "<option>x" * 100 + "</select>", "<nav><ul>" + "<li><a href=x>home</a>" * 100 + "</ul></nav>", "<ul class=menu>" + "<li><i>home" * 100 + "</ul>", "<table class=menu>" + "<tr><td><i>x<td>y" * 100 + "</table>", "<dl class=menu>" + "<dt><i>x<dd>y" * 100 + "</dl>"):
+        assert html_text.main_text(f"<body>{opened}{story}") == text
+    page = "<body><article>" + story + "<p>of<b>it" * 100 + "</article>" + "<p>Alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi.</p>"
+    assert [b[2] for b in html_text.blocks(page)][-1] is False
+    nested = "<body><ul class=menu><li>one<ul><li>two</ul><li>three</ul>" + story
+    assert html_text.main_text(nested) == text and len(html_text.blocks(nested)) == 4
+    assert html_text.blocks("<b><article><p>one<b>two<p>three</b><p>four")[-1] == ("four", 0.0, True, False)
+    many = "<body>" + "<div>" * 200 + "<nav>" + "<i>" * 200 + "home</nav>" + story
+    assert html_text.main_text(many) == text
+
+
 def test_pipeline_rows(spark, sf):
     import corpus_pipeline
 
