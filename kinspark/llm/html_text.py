@@ -6,7 +6,8 @@ either side is good and none is nearer and bad); blocks inside an article elemen
 nothing decided stands around them inside that article.
 
 Defined cases: a null or empty page gives the empty text; a page cut short anywhere is read as far as it goes; blocks
-without text vanish; page order is kept.
+without text vanish; page order is kept; on a page whose longer blocks match no list of stop words, length and link density
+decide.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import arrow_limits
 
-# Frequent function words of the languages met.
+# Frequent function words: those of English, French, Spanish and German together, then one list for each other language.
 STOP_WORDS = frozenset(
     """a an and are as at be but by for from had has have he her his i if in is it its not of on or she so that the their
     they this to was we were which will with you
@@ -30,6 +31,33 @@ STOP_WORDS = frozenset(
     aber als am auch auf aus bei das dass dem den der des die durch ein eine einem einen einer er es für hat ich im in ist
     mit nach nicht noch oder sich sie sind so um und uns von vor war wie wir zu zum zur""".split()
 )
+OTHER_STOP_WORDS = tuple(
+    frozenset(x.split())
+    for x in (
+        "a al alla anche che chi ci come con da dal dalla de dei del della delle di e è era gli ha hanno i il in io la le lo ma mi nel nella non o per però più quando questa questo se si sono su sua sul sulla suo tra un una uno",
+        "a ao aos as até com como da das de do dos e é ela ele em entre era essa esse esta este eu foi há isso já lhe mais mas na nas no nos não o os ou para pela pelo por que quem se sem ser seu são sua também um uma à às",
+        "aan als bij dan dat de der deze die dit door een en er had heb heeft het hij hoe ik in is je kan maar me meer met mijn naar niet nog nu of om omdat ook op over te toen tot uit van veel voor was wat we werd wel wie wij ze zich zijn zo",
+        "alla att av de den denna det dem där efter eller en ett från för ha hade han har hon i inte jag kan man med men mot mycket när och om på samma sig sin ska som så till under upp ut var vi vid är",
+        "ad af at blev da de den der deres det dette du efter eller en er et for fra får ham han har havde hun hvad hvor i ikke ja jeg kan man med meget men mere mod når og også om op over på sig sin skal som til ud var ved vi vil være å ble etter ikkje seg skulle hva noe opp ut vært",
+        "a aby ale bardzo był była było by być co czy dla do gdy go i ich jak jako jego jej jest jeszcze już kiedy która które który ma może na nie niż o od on ona oraz po pod przez przy się są ta tak tego tej ten to tylko tym w we z za ze że",
+        "a aby ale ani až bez by byl byla bylo být co do i jak jako je jeho její jen jeho jsem jsou k kde když která které který má mezi na nebo není o od po pod podle pro před při s se si so sú tak také ten to tento tím u už v ve však z za ze že aj alebo bol bola bolo ako pri sa som",
+        "a az azt be csak de egy el és ez ezt fel hogy is ha ki le lehet már még meg mert mi mint nagyon nem nincs olyan őt s sem után úgy vagy van vele volt",
+        "a ai al ale au ca că care ce cel cu cum da de din după ea ei el era este fi fost iar în între la le lui mai nu o pe pentru prin sa să sau se și sunt sub un una unei unui",
+        "ama bir bu ben biz çok da daha de değil diye en gibi göre hem her için ile ise kadar ki mi mı ne o olan olarak oldu onun sonra şu ve veya ya",
+        "ei eli en että hän he ja joka jos jo kuin kun mutta myös ne niin nyt oli on olla ovat se sen sekä siitä tai tämä vain voi",
+        "ada adalah akan atau bagi bahwa dalam dan dari dengan di dia ia ini itu juga karena ke kepada lebih mereka oleh pada saya sebagai sudah tidak untuk yang",
+        "ai bị các cho có của đã đang đến để được hay khi không là làm lại mà một này những như nhưng người ở ra sẽ tại thì trong từ và vào về với",
+        "а без бы был была были было быть в вам вас во вот все всё вы где да для до его ее её если есть еще ещё же за и из или им их к как когда ко которые который кто ли меня мне мы на над не него нее нет но о об он она они от по под при с со так также там то только том ты у уже чем что чтобы это этот я",
+        "а або але без був була були було в вже ви від він вона вони все для до з за зі і із його її їх й коли ми на над не ні о про по при та так також те ти то у це що щоб як який які є",
+        "без бил била били в във да до е за и из или има как като които който ли на не но ние от по при са се си след със с също така той това тя че ще а али били био је као који која које на од он она они се су то у што",
+        "αλλά αν από αυτά αυτή αυτό για δεν είναι εκ ένα ένας ή η ήταν θα και κατά με μας μετά μια μιας μου να ο οι όπως όταν ότι που προς σε στα στη στην στις στο στον στους τα τη την της τις το τον του τους των ως",
+        "أن أو إلى التي الذي إن بعد بين عن على في قد قبل كان كانت كل كما لا لم لن ما مع من هذا هذه هو هي و ذلك عند حتى",
+        "از است این آن با بر برای به بود تا در را شد که ما من نیز و هم هر یا یک شده می خود",
+        "אבל או אל אם אני את גם הוא היא היה הם זה זאת יש כי כל כמו לא לו מה מן עד על עם רק של",
+        "और एक इस उस का कि की के को था थी थे द्वारा नहीं ने पर भी में यह वह से है हैं हो तो जो ही",
+        "그 그는 그리고 것은 것이 또는 때 및 수 에 위해 은 을 이 있는 있다 한 할 하는 그러나",
+    )
+)
 # Elements by their part in a page.
 BLOCKS = frozenset("address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 SKIPPED = frozenset("script style noscript template textarea select option button iframe object svg canvas head title input label math".split())
@@ -59,7 +87,8 @@ GOOD, BAD, OPEN = 1, -1, 0
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|[^<]+|<", re.S)
 _MARKED = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORD = re.compile(r"[^\W\d_]+")
+# marks that write vowels (Devanagari, Thai, Arabic) belong to their words
+_WORD = re.compile(r"(?:[^\W\d_]|[\u0300-\u036f\u0591-\u05c7\u064b-\u065f\u0900-\u0903\u093a-\u094f\u0e31-\u0e4e])+")
 _SPACE = re.compile(r"\s+")
 _PART_TAG = re.compile(r"<[a-zA-Z/!][^>]*\Z")
 
@@ -153,12 +182,21 @@ def blocks(page: str) -> list[tuple[str, float, bool, bool]]:
 
 def classify(page_blocks: list[tuple[str, float, bool, bool]]) -> list[bool]:
     """Which blocks are main text."""
-    labels = []
-    for text, linked, inside, boiler in page_blocks:
+    labels, shares, stops, counted, matched = [], [], 0, 0, False
+    for text, linked, _, boiler in page_blocks:
         words = _WORD.findall(text.lower())
-        stop = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+        stop = sum(w in STOP_WORDS for w in words)
+        if stop < HIGH * len(words):
+            stop = max(stop, *(sum(w in x for w in words) for x in OTHER_STOP_WORDS))
+        shares.append(stop / max(1, len(words)))
+        if not boiler and linked <= LINKS and len(text) >= SHORT:
+            stops, counted, matched = stops + stop, counted + len(words), matched or shares[-1] >= HIGH
+    unknown = not matched and stops < LOW * counted
+    for (text, linked, inside, boiler), stop in zip(page_blocks, shares, strict=True):
         if boiler or linked > LINKS or text[0] == "©":
             label = BAD
+        elif unknown and len(text) >= SHORT:  # no list matches: length and link density decide
+            label = GOOD
         elif inside:
             label = GOOD if len(text) >= SHORT and stop >= LOW else OPEN
         elif len(text) < SHORT:

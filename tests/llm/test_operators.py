@@ -207,6 +207,19 @@ def test_html_end_tags_at_any_depth():
     assert html_text.main_text(many) == text
 
 
+@pytest.mark.parametrize("words", [
+    "Il vecchio pescatore era uscito da solo con la sua barca e non aveva preso un pesce per molti giorni di seguito",
+    "O velho pescador saía sozinho com o seu barco e não apanhava um peixe havia muitos dias e muitas noites",
+    "De oude visser ging alleen met zijn boot de zee op en hij had in vele dagen niet een vis gevangen",
+    "Старый рыбак вышел в море один на своей лодке и за много дней не поймал ни одной рыбы, но он не сдавался",
+    "一个老渔夫独自驾着小船在海上捕鱼已经很多天没有捕到一条鱼了但是他并没有放弃每天清晨他都会再次出海直到夜晚才回到岸边邻居们都劝他休息他却总是笑着摇头说明天一定会有好运气",
+    "Mzee mvuvi alikwenda peke yake baharini ndani ya mashua yake siku nyingi bila kupata samaki hata mmoja lakini",
+])
+def test_html_in_other_languages(words):
+    page = "<body><nav><a href=x>home</a></nav>" + "".join(f"<div>{words} {i}.</div>" for i in range(4)) + f"<div><a href=x>{words}</a></div>"
+    assert html_text.main_text(page) == "\n".join(f"{words} {i}." for i in range(4))
+
+
 def test_pipeline_rows(spark, sf):
     import corpus_pipeline
 
