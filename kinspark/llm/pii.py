@@ -1,7 +1,8 @@
 """Surrogates for personal data, by DataFrame functions alone.
 
 Detected: e-mail addresses, IPv4 addresses, payment cards (with a valid check digit), social security numbers, telephone
-numbers and names after a form of address. Each distinct value (in a canonical form: lower case, digits without
+numbers and names: the whole run of words and initials after a form of address, and the same words wherever they stand
+capitalised in that document. Each distinct value (in a canonical form: lower case, digits without
 separators) gets one surrogate, derived from a secret key by SHA-256, that keeps its type, length, script, letter classes
 and, for names, the last letter that carries the gender; cards stay valid and keep their
 first digit, as international telephone numbers do; addresses keep their top-level domain. A
@@ -9,6 +10,8 @@ surrogate that two values share, or that is itself a value of the corpus, is der
 values stay distinct, equal ones stay equal, in every document. Occurrences keep their case and separators. A value that
 finds no surrogate of its own length in ATTEMPTS derivations gets longer ones (letters behind the first, digits at the
 end, for cards before the check digit, a further octet), by one with each derivation, so every value finds one.
+Initials become other initials of their script, one to one under the key; as letters are few, such a letter can be another
+one's initial.
 
 Defined cases: null texts stay null; texts without findings stay as they are; repeated rows and null doc_ids are rows of
 their own; values that only look like cards stay.
@@ -17,6 +20,7 @@ their own; values that only look like cards stay.
 from __future__ import annotations
 
 import functools
+import hashlib
 import sys
 import unicodedata
 
@@ -28,7 +32,9 @@ from .common import materialise
 # Forms of address that a name follows.
 ADDRESS = "Mr|Mrs|Ms|Miss|Mister|Dr|Prof|Herr|Frau|Monsieur|Madame|Mademoiselle|Mme|Mlle|Señor|Señora|Señorita|Sr|Sra|Don|Doña|Г-н|Г-жа|Господин|Госпожа|Κύριος|Κυρία"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-_NAME = r"\p{Lu}[\p{L}\p{M}'’\-]{1,30}"
+# a name word, without a possessive's end, and an initial
+_NAME = r"\p{Lu}(?:[\p{L}\p{M}\-]|['’](?!s?(?![\p{L}\p{M}]))){1,30}"
+_INITIAL = r"\p{Lu}(?![\p{L}\p{M}\p{N}'’\-])"
 #: Pattern of each type; the first that matches at a place holds.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}",
@@ -36,9 +42,12 @@ PATTERNS = {
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "card": r"(?<![\p{L}\p{N}.+\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}.+])(?:\+\d{1,3}[ .\-]?\(\d{1,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\+\d{1,3}(?:[ .\-]?\d{2,7}){2,4}|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\p{L}\p{N}])",
-    "name": rf"(?<= )(?=\p{{Lu}})(?<=(?<![\p{{L}}\p{{N}}])(?:{ADDRESS})\.? (?:{_NAME} )?){_NAME}",
+    # after a form of address, or right after a name word or initial found before (\G)
+    "name": rf"(?=\p{{Lu}})(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{ADDRESS})\.? )|(?<=\G )(?<=(?<![\p{{L}}\p{{N}}.@_%+\-])\p{{Lu}}[\p{{L}}\p{{M}}'’\-]{{0,30}} )|(?<=\G\. ?)(?<=(?<![\p{{L}}\p{{N}}@_%+\-])\p{{Lu}}\. ?))(?:{_NAME}|{_INITIAL})",
 }
 FOUND = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: Words that may be a document's names again, and initials.
+AGAIN = rf"(?<![\p{{L}}\p{{M}}\p{{N}}])(?:{_NAME}|\p{{Lu}}(?=\.))"
 #: Without a sign of this, a text holds nothing that the patterns find.
 HINT = rf"[0-9@]|(?=[{''.join(sorted({x[0] for x in ADDRESS.split('|')}))}])(?:{ADDRESS})\.? \p{{Lu}}"
 # Letters by script and class; a letter's surrogate comes from its own class. Signs outside these: see _runs.
@@ -62,6 +71,7 @@ def _kind(e: str) -> str:
     """SQL: type of a finding, null for what only looks like one."""
     q = {k: p.replace("\\", "\\\\").replace("'", "\\'") for k, p in PATTERNS.items()}
     return f"""CASE WHEN {e} LIKE '%@%' THEN 'email'
+      WHEN length({e}) = 1 THEN 'initial'
       WHEN NOT {e} RLIKE '[0-9]' THEN 'name'
       WHEN {e} RLIKE '^{q["ip"]}$' THEN 'ip'
       WHEN {e} RLIKE '^{q["ssn"]}$' THEN 'ssn'
@@ -125,14 +135,38 @@ def _base(more: int) -> str:
     return f"CASE WHEN kind IN ('ssn', 'card', 'phone') THEN concat(canon, repeat('1', {more})) WHEN kind = 'ip' THEN concat(canon, repeat('.1', {more})) ELSE concat(left(canon, 1), repeat({like}, {more}), substring(canon, 2)) END"
 
 
+def _cased(found: str, canon: str, surrogate: str) -> str:
+    """SQL: the surrogate of letters with an occurrence's case."""
+    more = f"(length({surrogate}) - length({canon}))"
+    at = f"{surrogate}, i + 1 + CASE WHEN i = 0 THEN 0 ELSE {more} END, 1"
+    grown = f"substring({surrogate}, 2, {more})"
+    return f"array_join(transform(split({found}, ''), (c, i) -> CASE WHEN c != lower(c) THEN upper(substring({at})) ELSE substring({at}) END || CASE WHEN i > 0 THEN '' WHEN {found} = upper({found}) THEN upper({grown}) ELSE {grown} END), '')"
+
+
+def _initials(secret: str) -> tuple[str, str]:
+    """Capitals and what each becomes as an initial: the next one of its script in an order drawn from the key, so none two the same."""
+    groups: dict[tuple, list[str]] = {}
+    for x in range(sys.maxunicode + 1):
+        if unicodedata.category(chr(x)) == "Lu":
+            groups.setdefault((unicodedata.name(chr(x), "").split(" ")[0], x < 128), []).append(chr(x))
+    rows = [sorted(g, key=lambda c: hashlib.sha256(f"{secret}|initial|{c}".encode()).digest()) for g in groups.values()]
+    return "".join(c for g in rows for c in g), "".join(c for g in rows for c in g[1:] + g[:1])
+
+
+def _recurring() -> str:
+    """SQL: a piece x of a text, the document's names (_names) in it replaced, and how often."""
+    q = AGAIN.replace("\\", "\\\\").replace("'", "\\'")
+    by = f"CASE WHEN _names[lower(w)] IS NULL THEN w WHEN length(w) = 1 THEN upper(_names[lower(w)]) ELSE {_cased('w', 'lower(w)', '_names[lower(w)]')} END"
+    text = f"concat(z.s[0], array_join(transform(z.w, (w, j) -> concat({by}, z.s[j + 1])), ''))"
+    return f"transform(array(named_struct('s', split(x, '{q}', -1), 'w', regexp_extract_all(x, '{q}', 0))), z -> named_struct('t', {text}, 'n', size(filter(z.w, w -> _names[lower(w)] IS NOT NULL))))[0]"
+
+
 def _laid_out() -> str:
     """SQL: the surrogate with an occurrence's case and separators; what it is longer by follows the first letter or the last digit."""
     figures = "regexp_replace(surrogate, '[^0-9]', '')"
     digits = f"concat(array_join(transform(split(found, ''), (c, i) -> CASE WHEN c RLIKE '[0-9]' THEN substring({figures}, length(regexp_replace(left(found, i + 1), '[^0-9]', '')), 1) ELSE c END), ''), substring({figures}, length(regexp_replace(found, '[^0-9]', '')) + 1))"
-    more = "(length(surrogate) - length(canon))"
-    words = f"concat(array_join(transform(split(found, ''), (c, i) -> CASE WHEN c != lower(c) THEN upper(substring(surrogate, i + 1 + CASE WHEN i = 0 THEN 0 ELSE {more} END, 1)) ELSE substring(surrogate, i + 1 + CASE WHEN i = 0 THEN 0 ELSE {more} END, 1) END || CASE WHEN i > 0 THEN '' WHEN found = upper(found) THEN upper(substring(surrogate, 2, {more})) ELSE substring(surrogate, 2, {more}) END), ''))"
     whole = "CASE WHEN kind = 'name' THEN concat(upper(left(surrogate, 1)), substring(surrogate, 2)) ELSE surrogate END"
-    return f"CASE WHEN kind = 'ip' THEN surrogate WHEN kind IN ('email', 'name') AND length(found) != length(canon) THEN {whole} WHEN kind IN ('email', 'name') THEN {words} ELSE {digits} END"
+    return f"CASE WHEN kind = 'ip' THEN surrogate WHEN kind IN ('email', 'name') AND length(found) != length(canon) THEN {whole} WHEN kind IN ('email', 'name') THEN {_cased('found', 'canon', 'surrogate')} ELSE {digits} END"
 
 
 def surrogates(values: DataFrame, secret: str) -> DataFrame:
@@ -167,15 +201,21 @@ def replace_documents(df: DataFrame, secret: str, text_col: str = "text", keep:
     each = hits.select("_x", "_y", F.posexplode_outer("_f").alias("_i", "found")).filter("found is not null").distinct()
     each = each.withColumn("kind", F.expr(_kind("found"))).filter("kind is not null").withColumn("canon", F.expr(_canon()))
     each = materialise(each, "pii-found")
-    table = surrogates(each.select("kind", "canon"), secret)
-    laid = each.join(table, ["kind", "canon"]).select("_x", "_y", F.struct("_i", F.expr(_laid_out()).alias("by")).alias("_s"))
-    laid = materialise(laid.groupBy("_x", "_y").agg(F.collect_list("_s").alias("_s")).select("_x", "_y", F.map_from_entries("_s").alias("_by")), "pii-laid")
+    table = surrogates(each.filter("kind != 'initial'").select("kind", "canon"), secret)
+    initial = F.translate("found", *_initials(secret))
+    laid = each.join(table, ["kind", "canon"], "left").withColumn("by", F.when(F.col("kind") == "initial", initial).otherwise(F.expr(_laid_out())))
+    named = F.when(F.col("kind") == "initial", F.struct("canon", F.lower("by").alias("surrogate"))).when(F.col("kind") == "name", F.struct("canon", "surrogate"))
+    laid = laid.select("_x", "_y", F.struct("_i", "by").alias("_s"), named.alias("_m")).groupBy("_x", "_y").agg(F.collect_list("_s").alias("_s"), F.collect_set("_m").alias("_m"))
+    laid = materialise(laid.select("_x", "_y", F.map_from_entries("_s").alias("_by"), F.map_from_entries("_m").alias("_names")), "pii-laid")
     # texts without a hint pass by; the others meet their replacements
     out = some.join(laid, ["_x", "_y"], "left")
     parts = F.split("_t", FOUND, -1)
     again = F.regexp_extract_all("_t", F.lit(FOUND), F.lit(0))
-    text = F.expr("concat(_p[0], array_join(transform(_e, (e, i) -> concat(coalesce(_by[i], e), _p[i + 1])), ''))")
+    text = F.expr("concat(_q[0].t, array_join(transform(_e, (e, i) -> concat(coalesce(_by[i], e), _q[i + 1].t)), ''))")
+    count = F.expr("CAST(size(_by) + aggregate(_q, 0, (a, q) -> a + q.n) AS BIGINT)")
+    # between the findings, the document's names may stand without a form of address
+    pieces = F.expr(f"transform(_p, x -> CASE WHEN size(_names) > 0 THEN {_recurring()} ELSE named_struct('t', x, 'n', 0) END)")
     changed = F.when(F.col("_by").isNull(), F.struct(F.lit(None).cast("array<string>").alias("_p"), F.lit(None).cast("array<string>").alias("_e"))).otherwise(F.struct(parts.alias("_p"), again.alias("_e")))
-    out = out.withColumn("_c", changed).select(*keys, "_t", "_by", F.col("_c._p").alias("_p"), F.col("_c._e").alias("_e"))
-    out = out.select(*keys, F.when(F.col("_by").isNull(), F.col("_t")).otherwise(text).alias("text"), F.when(F.col("_by").isNull(), 0).otherwise(F.size("_by")).cast("long").alias("n_replaced"))
+    out = out.withColumn("_c", changed).select(*keys, "_t", "_by", "_names", F.col("_c._p").alias("_p"), F.col("_c._e").alias("_e")).withColumn("_q", pieces)
+    out = out.select(*keys, F.when(F.col("_by").isNull(), F.col("_t")).otherwise(text).alias("text"), F.when(F.col("_by").isNull(), 0).otherwise(count).cast("long").alias("n_replaced"))
     return docs.filter(~hinted).select(*keys, F.col("_t").alias("text"), F.lit(0).cast("long").alias("n_replaced")).unionByName(out)

@@ -167,6 +167,18 @@ def test_pii_finds_a_surrogate_for_every_value(spark, monkeypatch):
     assert "Xy" not in got[2000] and "Արամ" not in got[2000] and "2222" not in got[2001]
 
 
+def test_pii_names_are_whole_and_followed(spark):
+    t = ["Dr J. Smith met Mr John Quincy Adams. He is old. Later Smith, SMITH and John Smith left; Adams's dog and J. Smith stayed.", "Smith and Adams are not titled here.", "Mr Lee a@b.com John stays, Prof. J.R.R. Tolkien's book, a smith."]
+    got = {r.doc_id: r for r in pii.replace_documents(spark.createDataFrame(list(enumerate(t)), "doc_id long, text string"), "k").collect()}
+    m = re.fullmatch(r"Dr (\w)\. (\w+) met Mr (\w+) (\w+) (\w+)\. He is old\. Later (\w+), (\w+) and (\w+) (\w+) left; (\w+)'s dog and (\w)\. (\w+) stayed\.", got[0].text).groups()
+    j, smith, john, quincy, adams = m[:5]
+    assert m[5:] == (smith, smith.upper(), john, smith, adams, j, smith) and got[0].n_replaced == 12
+    assert j != "J" and len({smith, john, quincy, adams, "Smith", "John", "Quincy", "Adams"}) == 8
+    assert got[1].text == t[1] and got[1].n_replaced == 0
+    m = re.fullmatch(r"Mr (\w+) \S+@\S+ John stays, Prof\. (\w)\.(\w)\.(\w)\. (\w+)'s book, a smith\.", got[2].text).groups()
+    assert m[0] != "Lee" and "J" != m[1] == j and "R" != m[2] == m[3] and m[4] != "Tolkien"
+
+
 def test_fingerprints(docs):
     rows = sorted(((r.doc_id, r.text or "") for r in docs.filter("doc_id is not null").dropDuplicates(["doc_id"]).collect()), reverse=True)
     got = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs.filter("doc_id is not null").dropDuplicates(["doc_id"])).collect()}
