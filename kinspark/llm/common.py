@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+import contextlib
+import contextvars
+import gc
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinspark.sources.shared import shared_path
 
 #: Rows and bytes of one Arrow batch handed to a Python worker, so that very long texts cannot pile up in memory.
 ARROW_ROWS, ARROW_BYTES = 1000, 16 << 20
 
-_scratch: list[str] = []
+_scope: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("scratch", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,36 +26,49 @@ def arrow_limits(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; only where that is unset (tests) one of our own."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="kinspark-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    return d.rstrip("/")
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct, so that no name of theirs can clash with an operator's own."""
+    return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])
 
 
-def scratch_path(spark: SparkSession, what: str) -> str:
-    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
-    _scratch.append(path)
-    return path
+@contextlib.contextmanager
+def scratch(paths: list[str]):
+    """Collects in paths the scratch tables that are written inside, for delete()."""
+    token = _scope.set(paths)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
 
 
-def run_path(spark: SparkSession, what: str) -> str:
-    """A folder in the shared one for what outlives the scratch tables."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, what: str) -> str:
+    path = shared_path(spark, what)
+    if (paths := _scope.get()) is not None:
+        paths.append(path)
+    return path
 
 
 def materialise(df: DataFrame, what: str) -> DataFrame:
     """Cut the lineage: write a table to the shared folder and read it back, so lost executors cost no recomputation."""
     path = scratch_path(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables made so far. Call it only when the results built on them have been written."""
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables that nothing will read again."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _scratch:
-        p = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+    while paths:
+        p = jvm.org.apache.hadoop.fs.Path(paths.pop())
         p.getFileSystem(conf).delete(p, True)
+
+
+def done_with(*frames: DataFrame) -> None:
+    """Remove tables that materialise() made and whose last reader has written. A collection on the driver then lets Spark
+    remove the shuffles that no plan refers to any more."""
+    for df in frames:
+        delete(df.sparkSession, [df.scratch_path])
+    gc.collect()
+    frames[0].sparkSession._jvm.System.gc()
