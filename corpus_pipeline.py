@@ -14,13 +14,18 @@ from kinspark.llm import common, decontaminate, ngram_join, quality, queries, se
 REJECT_BELOW = 0.3
 
 
+#: Scratch tables of the stage that was called last.
+_scratch: list[str] = []
+
+
 def _stage(f: Callable[[SparkSession, DataFrame, str], DataFrame]):
-    """A stage begins when the one before has been written: scratch tables made so far are no longer read."""
+    """A stage begins when the one before has been written: that one's own scratch tables are no longer read."""
 
     @functools.wraps(f)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        common.release(spark)
-        return f(spark, docs, sf_dir)
+        common.delete(spark, _scratch)
+        with common.scratch(_scratch):
+            return f(spark, docs, sf_dir)
 
     return run_stage
 
@@ -71,8 +76,10 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over sf_dir's documents, each written as Parquet to the shared folder and read again."""
     docs = common.table(spark, sf_dir, "documents")
-    base = common.run_path(spark, "pipeline")
+    base, read = common.shared_path(spark, "pipeline"), []
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
-        docs = spark.read.parquet(f"{base}/{k}")
+        common.delete(spark, read)
+        docs, read = spark.read.parquet(f"{base}/{k}"), [f"{base}/{k}"]
+    common.delete(spark, _scratch)
     return docs
