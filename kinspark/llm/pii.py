@@ -13,7 +13,10 @@ end, for cards before the check digit, a further octet), by one with each deriva
 Initials become other initials of their script, one to one under the key; as letters are few, such a letter can be another
 one's initial.
 
-Defined cases: null texts stay null; texts without findings stay as they are; repeated rows and null doc_ids are rows of
+The gender of a name is that of its last letter, which stays; forms of address stay too. A telephone number with and without
+its country code counts as two values. After one form of address, name words of up to 250 letters can follow each other.
+
+Defined cases: null texts stay null; texts of any length are searched whole; of df's columns only keep and the text are read; texts without findings stay as they are; repeated rows and null doc_ids are rows of
 their own; values that only look like cards stay.
 """
 
@@ -32,18 +35,19 @@ from .common import materialise
 # Forms of address that a name follows.
 ADDRESS = "Mr|Mrs|Ms|Miss|Mister|Dr|Prof|Herr|Frau|Monsieur|Madame|Mademoiselle|Mme|Mlle|Señor|Señora|Señorita|Sr|Sra|Don|Doña|Г-н|Г-жа|Господин|Госпожа|Κύριος|Κυρία"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
-# a name word, without a possessive's end, and an initial
-_NAME = r"\p{Lu}(?:[\p{L}\p{M}\-]|['’](?!s?(?![\p{L}\p{M}]))){1,30}"
+# a name word of any length, without a possessive's end, and an initial
+_APOSTROPHE = r"['’](?!s?(?![\p{L}\p{M}]))"
+_NAME = rf"\p{{Lu}}(?:{_APOSTROPHE})?[\p{{L}}\p{{M}}\-]++(?:{_APOSTROPHE}[\p{{L}}\p{{M}}\-]++){{0,9}}"
 _INITIAL = r"\p{Lu}(?![\p{L}\p{M}\p{N}'’\-])"
 #: Pattern of each type; the first that matches at a place holds.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]{1,64}@(?:[\p{L}\p{N}\-]{1,63}\.){1,8}\p{L}{2,24}",
+    "email": r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@(?:[\p{L}\p{N}\-]++\.){1,126}\p{L}{2,63}",
     "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?![\p{{L}}\p{{N}}]|\.\d)",
     "ssn": r"(?<![\p{L}\p{N}\-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}]|-\d)",
     "card": r"(?<![\p{L}\p{N}.+\-])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3}|\d{4}[ \-]\d{6}[ \-]\d{5})(?![\p{L}\p{N}])",
     "phone": r"(?<![\p{L}\p{N}.+])(?:\+\d{1,3}[ .\-]?\(\d{1,4}\)[ .\-]?\d{3,4}[ .\-]?\d{3,4}|\+\d{1,3}(?:[ .\-]?\d{2,7}){2,4}|\(\d{3}\)[ .\-]?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\p{L}\p{N}])",
     # after a form of address, or right after a name word or initial found before (\G)
-    "name": rf"(?=\p{{Lu}})(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{ADDRESS})\.? )|(?<=\G )(?<=(?<![\p{{L}}\p{{N}}.@_%+\-])\p{{Lu}}[\p{{L}}\p{{M}}'’\-]{{0,30}} )|(?<=\G\. ?)(?<=(?<![\p{{L}}\p{{N}}@_%+\-])\p{{Lu}}\. ?))(?:{_NAME}|{_INITIAL})",
+    "name": rf"(?=\p{{Lu}})(?:(?<=(?<![\p{{L}}\p{{N}}])(?:{ADDRESS})\.? )|(?<=\G )(?<=(?<![\p{{L}}\p{{N}}.@_%+\-])\p{{Lu}}[\p{{L}}\p{{M}}'’\-]{{0,250}} )|(?<=\G\. ?)(?<=(?<![\p{{L}}\p{{N}}@_%+\-])\p{{Lu}}\. ?))(?:{_NAME}|{_INITIAL})",
 }
 FOUND = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Words that may be a document's names again, and initials.
@@ -172,9 +176,11 @@ def _laid_out() -> str:
 def surrogates(values: DataFrame, secret: str) -> DataFrame:
     """kind, canon and surrogate of each distinct value: no two alike, none a value itself."""
     values = materialise(values.distinct(), "pii-values")
+    # a digest of the key, from a table of one row: plans and event logs show its name alone
+    key = values.sparkSession.createDataFrame([(hashlib.sha256(f"surrogates|{secret}".encode()).hexdigest(),)], "secret string")
     todo, done, attempt = values, None, 0
     while True:
-        made = todo.withColumns({"secret": F.lit(secret), "attempt": F.lit(attempt), "base": F.expr(_base(max(0, attempt - ATTEMPTS + 1))), "runs": F.expr(_runs())})
+        made = todo.withColumns({"secret": key.scalar(), "attempt": F.lit(attempt), "base": F.expr(_base(max(0, attempt - ATTEMPTS + 1))), "runs": F.expr(_runs())})
         made = made.withColumn("surrogate", F.expr(_derived())).select("kind", "canon", "surrogate")
         known = values.select("kind", F.col("canon").alias("surrogate"), F.lit(True).alias("_real"))
         taken = made.withColumn("_new", F.lit(1))
