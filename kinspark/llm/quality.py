@@ -6,7 +6,9 @@ the maximum over the chunks enter one logistic unit. Training is gradient descen
 sample of labelled rows whose size is bounded by PER_LABEL texts of each label.
 
 Defined cases: null and empty texts are one chunk of padding and get a score; rows without a label only get scores; if a
-label has no training rows, the score is the share of the other. Equal texts have equal scores.
+label has no training rows, the score is the share of the other. Equal texts have equal scores. Of a doc_id that repeats,
+training takes the least label and the least text, so the net depends on the rows alone. Texts are scored whole, BLOCK
+bytes of chunks at a time. The columns kept go under other names meanwhile, so theirs cannot clash.
 """
 
 from __future__ import annotations
@@ -128,12 +130,12 @@ def fold(doc_id: str = "doc_id"):
 def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> list[tuple[bytes, int]]:
     """At most per_label labelled texts of each label outside the held-out fold, chosen by a hash of doc_id."""
     hashed = F.xxhash64(F.lit("quality"), "doc_id")
-    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)").filter(fold() != 0).dropDuplicates(["doc_id"])
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("doc_id is not null and quality in (0, 1)").filter(fold() != 0).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = [r for y in (0, 1) for r in known.filter(F.col("quality") == y).select("doc_id", "quality", hashed.alias("h")).orderBy("h", "doc_id").limit(per_label).collect()]
     if not chosen:
         return []
     of = {r[0]: r[1] for r in chosen}
-    rows = docs.filter(F.col("doc_id").isin(list(of))).select("doc_id", "text").dropDuplicates(["doc_id"]).collect()
+    rows = docs.filter(F.col("doc_id").isin(list(of))).groupBy("doc_id").agg(F.min("text").alias("text")).collect()
     return [((r[1] or "").encode(), of[r[0]]) for r in sorted(rows, key=lambda r: r[0])]
 
 

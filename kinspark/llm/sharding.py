@@ -8,14 +8,17 @@ input. An arc's rows are then ranked (cells of an arc are counted first, and ran
 With `slack` 0 the shards' capacities sum to the rows: counts are at most one apart (law "rows"). With slack s each holds
 at most ceil((1 + s) x rows / shards), and fewer rows leave their first shard.
 
-Defined cases: a null text has size 1 and CRC 0; null and repeated keys are rows of their own; rows that tie in everything
-are interchangeable; an empty table gives an empty result.
+Defined cases: a null text has size 1 and CRC 0; a text of any length is read for its size and CRC alone and never shuffled;
+null and repeated keys are rows of their own; rows that tie in everything are interchangeable; an empty table gives an empty
+result; other columns than key and text are left out, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from bisect import bisect_left
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,7 +40,7 @@ def ring(shards: int, nodes: int) -> list[tuple[int, int]]:
 
 def capacities(rows: int, shards: int, slack: float) -> list[int]:
     if slack:
-        return [-(-int(rows * (1 + slack) * 1e6) // (shards * 10**6)) + 1] * shards
+        return [math.ceil(rows * (1 + Fraction(str(slack))) / shards)] * shards
     return [rows // shards + (s < rows % shards) for s in range(shards)]
 
 
