@@ -10,28 +10,47 @@ from pyspark.sql import functions as F
 
 #: Vectors of a block at most, so that a product of two blocks takes 4 MB.
 BLOCK = 1024
-
-
-def name_keys(records: DataFrame) -> DataFrame:
-    """(ckey, id, key): `t|` words of two characters or more, `p|` sorted pairs of the first four, `c|` the compact name.
-    records: ckey, id, toks (array<string>), compact."""
-    words = F.array_distinct(F.filter("toks", lambda t: (F.length(t) >= 2) & ~t.rlike("^[0-9]+$")))
-    r = records.withColumn("w", words).withColumn("head", F.slice("w", 1, 4))
-    pair = lambda a, b: F.concat(F.lit("p|"), F.least(a, b), F.lit("|"), F.greatest(a, b))
-    pairs = F.flatten(F.transform("head", lambda a, i: F.transform(F.filter("head", lambda b, j: j > i), lambda b: pair(a, b))))
-    singles = F.transform("w", lambda t: F.concat(F.lit("t|"), t))
-    whole = F.when(F.length("compact") >= 4, F.array(F.concat(F.lit("c|"), "compact"))).otherwise(F.array().cast("array<string>"))
-    return r.select("ckey", "id", F.explode(F.array_distinct(F.concat(singles, pairs, whole))).alias("key"))
-
-
-def pruned_keys(s1_keys: DataFrame, n: int, max_df: int = 100) -> DataFrame:
-    """(ckey, key, idf) of the keys that max_df entities at most have: ln((n + 1) / df)."""
+#: Vectors from which cells are learnt at most.
+SAMPLE = 200_000
+
+
+def record_keys(records: DataFrame) -> DataFrame:
+    """(ckey, id, key) of prepared records (ckey, id and the columns below). By kind: `t|` a word, `p|` two of the first four
+    words, `c|` the compact name, `hs|` house and street, `pf|` postal code and first word, `mp|`, `mh|` the first word's sound
+    with postal code or house, `sf|` street and first word, `ab|` neighbouring words of the address, `ac|` initials or short
+    name with one of three numbers, `na|`, `fa|` compact name or first word with a word of the place."""
+    none = F.array().cast("array<string>")
+    key = lambda kind, *parts: F.concat_ws("|", F.lit(kind), *parts)
+    both = lambda kind, a, b: F.when((F.col(a) != "") & (F.col(b) != ""), F.array(key(kind, F.col(a), F.col(b)))).otherwise(none)
+    words = F.array_distinct(F.filter("core_toks", lambda t: (F.length(t) >= 2) & ~t.rlike("^[0-9]+$")))
+    place = F.slice(F.array_distinct(F.filter("addr_toks", lambda t: (F.length(t) >= 4) & t.rlike(r"^\p{L}+$"))), 1, 10)
+    short = F.when(F.length("compact").between(2, 5) & F.rlike("compact", F.lit(r"^\p{L}+$")), F.col("compact")).otherwise("")
+    r = records.withColumns({"_w": words, "_place": place, "_acr": F.array_distinct(F.filter(F.array("initials", short), lambda x: x != ""))})
+    r = r.withColumn("_head", F.slice("_w", 1, 4)).withColumn("_near", F.slice("addr_toks", 1, 14))
+    pairs = F.flatten(F.transform("_head", lambda a, i: F.transform(F.slice("_head", i + 2, F.lit(4)), lambda b: key("p", F.least(a, b), F.greatest(a, b)))))
+    steps = F.transform("_near", lambda a, i: F.struct(a.alias("a"), F.get("_near", i + 1).alias("b")))
+    steps = F.filter(steps, lambda s: s.b.isNotNull() & (F.length(s.a) + F.length(s.b) >= 5))
+    by_acronym = F.flatten(F.transform("_acr", lambda x: F.transform(F.slice("addr_nums", 1, 3), lambda n: key("ac", x, n))))
+    named = F.when(F.length("compact") >= 3, F.col("_place")).otherwise(none)
+    first = F.get("_w", F.lit(0))
+    every = F.concat(
+        F.transform("_w", lambda t: key("t", t)), pairs, F.when(F.length("compact") >= 4, F.array(key("c", F.col("compact")))).otherwise(none),
+        both("hs", "house", "street"), both("pf", "postal", "first_tok"), both("mp", "meta_first", "postal"), both("mh", "meta_first", "house"), both("sf", "street", "first_tok"),
+        F.transform(steps, lambda s: key("ab", s.a, s.b)), by_acronym, F.transform(named, lambda t: key("na", F.col("compact"), t)),
+        F.when(first.isNotNull(), F.transform(F.filter(named, lambda t: t != first), lambda t: key("fa", first, t))).otherwise(none),
+    )
+    return r.select("ckey", "id", F.explode(F.array_distinct(every)).alias("key"))
+
+
+def pruned_keys(s1_keys: DataFrame, sizes: DataFrame, max_df: int = 100) -> DataFrame:
+    """(ckey, key, idf) of the keys that max_df entities at most have: ln((n + 1) / df), n from sizes (ckey, n)."""
     counts = s1_keys.groupBy("ckey", "key").agg(F.count("*").alias("df")).filter(F.col("df") <= max_df)
-    return counts.select("ckey", "key", F.log((F.lit(n) + 1.0) / F.col("df")).alias("idf"))
+    return counts.join(F.broadcast(sizes), "ckey").select("ckey", "key", F.log((F.col("n") + 1.0) / F.col("df")).alias("idf"))
 
 
 def key_overlap(rec_keys: DataFrame, s1_keys: DataFrame, idf: DataFrame, k: int = 15) -> DataFrame:
     """(ckey, rec, s1, score, key_rank): of each record, the k entities of the greatest sums of shared keys' idf."""
+    # what entities share too often is gone from their side, so no key of records meets more than that
     weighted = s1_keys.join(idf, ["ckey", "key"]).select("ckey", "key", F.col("id").alias("s1"), "idf")
     scored = rec_keys.select("ckey", "key", F.col("id").alias("rec")).join(weighted, ["ckey", "key"]).groupBy("ckey", "rec", "s1").agg(F.sum("idf").alias("score"))
     w = Window.partitionBy("ckey", "rec").orderBy(F.round("score", 6).desc(), "s1")
@@ -50,22 +69,74 @@ def knn_exact(queries: DataFrame, base: DataFrame, k: int = 10) -> DataFrame:
     q = _blocks(queries, qn).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(bn - 1)))).select(F.col("block").alias("i"), F.col("other").alias("j"), "id", "v")
     b = _blocks(base, bn).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(qn - 1)))).select(F.col("other").alias("i"), F.col("block").alias("j"), "id", "v")
 
-    def product(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"id": [], "neighbour": [], "sim": []})
-        right = right.sort_values("id")
-        sims = np.stack(left.v.to_numpy()).astype(np.float64) @ np.stack(right.v.to_numpy()).astype(np.float64).T
-        ids, names = left.id.to_numpy(), right.id.to_numpy()
-        sims[ids[:, None] == names] = -np.inf
-        best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({"id": np.repeat(ids, best.shape[1]), "neighbour": names[best].ravel(), "sim": np.take_along_axis(sims, best, 1).ravel()})
-        return out[np.isfinite(out.sim)]
-
-    met = q.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(product, "id long, neighbour long, sim double")
+    met = q.groupBy("i", "j").cogroup(b.groupBy("i", "j")).applyInPandas(lambda key, left, right: _product(left, right, k), "id long, neighbour long, sim double")
+    return _best(met, k)
+
+
+def _product(left: pd.DataFrame, right: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best of a block of base for each query of a block."""
+    if not len(left) or not len(right):
+        return pd.DataFrame({"id": [], "neighbour": [], "sim": []})
+    right = right.sort_values("id")
+    sims = np.stack(left.v.to_numpy()).astype(np.float64) @ np.stack(right.v.to_numpy()).astype(np.float64).T
+    ids, names = left.id.to_numpy(), right.id.to_numpy()
+    sims[ids[:, None] == names] = -np.inf
+    best = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+    out = pd.DataFrame({"id": np.repeat(ids, best.shape[1]), "neighbour": names[best].ravel(), "sim": np.take_along_axis(sims, best, 1).ravel()})
+    return out[np.isfinite(out.sim)]
+
+
+def _best(met: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("id").orderBy(F.desc("sim"), "neighbour")
     return met.withColumn("rnk", F.row_number().over(w)).filter(F.col("rnk") <= k)
 
 
+def cells(base: DataFrame, lists: int, sample: int = 40, rounds: int = 8, seed: int = 7) -> np.ndarray:
+    """Centres (unit length) of lists cells, by k-means on a bounded sample of sample x lists vectors, chosen by a hash."""
+    drawn = base.select("v").orderBy(F.xxhash64(F.lit(seed), "id")).limit(min(sample * lists, SAMPLE)).collect()
+    x = np.array([r.v for r in drawn], np.float64)
+    centres = x[np.random.default_rng(seed).permutation(len(x))[:lists]]
+    for _ in range(rounds):
+        own = np.argmax(x @ centres.T, axis=1)
+        total = np.zeros_like(centres)
+        np.add.at(total, own, x)
+        alive = np.bincount(own, minlength=len(centres)) > 0
+        centres = total[alive] / np.maximum(np.linalg.norm(total[alive], axis=1, keepdims=True), 1e-12)
+    return centres
+
+
+def knn_cells(queries: DataFrame, base: DataFrame, k: int = 10, probes: int = 24, lists: int | None = None) -> DataFrame:
+    """As knn_exact, searched in each query's nearest cells alone: every row of base lies in the cell of its nearest centre.
+    Cells of many rows are cut into blocks of bounded size, so a query meets blocks, never a whole hot cell at once."""
+    base = base.select("id", "v").toDF("id", "v")  # columns of their own: queries and base may be one table
+    n = base.count()
+    lists = lists or int(min(65536, max(16, min(4 * n**0.5, n / 50))))
+    if n == 0:
+        return knn_exact(queries, base, k)
+    shared = base.sparkSession.sparkContext.broadcast(cells(base, min(lists, n)))
+
+    def nearest(many: int):
+        def of(v: pd.Series) -> pd.Series:
+            if not len(v):
+                return pd.Series([], dtype=object)
+            sims = np.stack(v.to_numpy()).astype(np.float64) @ shared.value.T
+            return pd.Series(list(np.argsort(-sims, axis=1, kind="stable")[:, :many].astype(np.int32)))
+
+        return F.pandas_udf(of, "array<int>")
+
+    b = base.withColumn("cell", F.get(nearest(1)("v"), F.lit(0)))
+    blocks = b.groupBy("cell").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.lit(1)).cast("int").alias("blocks"))
+    b = b.join(F.broadcast(blocks), "cell").select(F.col("cell").alias("i"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("j"), "id", "v")
+    q = queries.withColumn("cell", F.explode(nearest(probes)("v"))).join(F.broadcast(blocks), "cell")
+    # queries of one cell are cut into blocks too: (j, part) of them
+    parts = q.groupBy("cell").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.lit(1)).cast("int").alias("parts"))
+    q = q.join(F.broadcast(parts), "cell").withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    q = q.select(F.col("cell").alias("i"), "j", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), "id", "v")
+    b = b.join(F.broadcast(parts.withColumnRenamed("cell", "i")), "i").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    met = q.groupBy("i", "j", "part").cogroup(b.groupBy("i", "j", "part")).applyInPandas(lambda key, left, right: _product(left, right, k), "id long, neighbour long, sim double")
+    return _best(met, k)
+
+
 def candidate_union(parts: dict[str, DataFrame], missing: dict[str, int]) -> DataFrame:
     """(rec, s1, <part>_rank..., n_blockers) of all pairs that any part (rec, s1, rnk) names; absent ranks as given."""
     rows = None
@@ -76,3 +147,24 @@ def candidate_union(parts: dict[str, DataFrame], missing: dict[str, int]) -> Dat
     u = rows.groupBy("rec", "s1").agg(*ranks)
     n = sum((F.col(f"{p}_rank").isNotNull().cast("int") for p in parts), F.lit(0))
     return u.withColumn("n_blockers", n).fillna({f"{p}_rank": missing[p] for p in parts})
+
+
+def cheap_score(cand: DataFrame) -> DataFrame:
+    """cand with cheap: cosines of name, of name and address and of address, shared keys and the number of blockers, weighed."""
+    score = 0.3 * F.col("cos_name_d") + 0.3 * F.col("cos_full_d") + 0.25 * F.col("cos_addr_c") + 0.15 * F.tanh(F.col("key_score") / 10.0) + 0.01 * F.col("n_blockers")
+    return cand.withColumn("cheap", score)
+
+
+def capped(cand: DataFrame, cap: int = 10, cap_bare: int = 25, by_address: int = 3, least_cosine: float = 0.5, by_key: int = 2) -> DataFrame:
+    """cand (rec, s1, cheap, cos_addr_c, key_rank, no_addr) with cheap_rank and kept: the first cap by the cheap score (more of a
+    record without an address), the nearest addresses and the best by keys. All rows stay, so that a miss can be told from a cut."""
+    of = lambda c: Window.partitionBy("rec").orderBy(F.desc(c), "s1")
+    ranked = cand.withColumns({"cheap_rank": F.row_number().over(of("cheap")), "_addr_rank": F.row_number().over(of("cos_addr_c"))})
+    near = (F.col("_addr_rank") <= by_address) & (F.col("cos_addr_c") >= least_cosine)
+    kept = (F.col("cheap_rank") <= F.when(F.col("no_addr"), cap_bare).otherwise(cap)) | near | (F.col("key_rank") <= by_key)
+    return ranked.withColumn("kept", kept).drop("_addr_rank")
+
+
+def orphans(records: DataFrame, s1: DataFrame) -> DataFrame:
+    """(ckey, records): keys of records that no entity has, which can have no candidates."""
+    return records.join(s1.select("ckey").distinct(), "ckey", "left_anti").groupBy("ckey").agg(F.count("*").alias("records"))

@@ -5,8 +5,8 @@ from __future__ import annotations
 
 from .linkage_sql import PAIRS
 
-SPARK = {"WORDS": "EXPLODE(SPLIT(LOWER(text), '[^a-z]+'))", "FIGURES": "EXPLODE(SPLIT(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '')", "GRID": "EXPLODE(SEQUENCE(1, 97))"}
-STANDARD = {"WORDS": "UNNEST(string_split_regex(LOWER(text), '[^a-z]+'))", "FIGURES": "UNNEST(string_split_regex(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '', 'g')", "GRID": "UNNEST(RANGE(1, 98))"}
+SPARK = {"WORDS": "EXPLODE(SPLIT(LOWER(text), '[^\\\\p{L}\\\\p{N}]+'))", "FIGURES": "EXPLODE(SPLIT(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '')", "GRID": "EXPLODE(SEQUENCE(1, 97))"}
+STANDARD = {"WORDS": "UNNEST(string_split_regex(LOWER(text), '[^\\p{L}\\p{N}]+'))", "FIGURES": "UNNEST(string_split_regex(text, '[^0-9]+'))", "URLKEY": "REGEXP_REPLACE(LOWER(url), '[^0-9a-z]', '', 'g')", "GRID": "UNNEST(RANGE(1, 98))"}
 
 _DOCUMENT_WORDS = "dw AS (SELECT DISTINCT doc_id, lang, tok FROM (SELECT doc_id, lang, {WORDS} AS tok FROM documents) x WHERE LENGTH(tok) >= 2)"
 _ITEM_WORDS = "iw AS (SELECT DISTINCT item_id, tok FROM (SELECT item_id, {WORDS} AS tok FROM benchmark) x WHERE LENGTH(tok) >= 2)"
@@ -46,7 +46,7 @@ im AS (SELECT item_id, COUNT(*) AS n, SUM(idf) AS w FROM ik GROUP BY item_id)
 SELECT one.doc_id, one.item_id, CAST(one.n_shared AS BIGINT) AS common, CAST(dn.n - one.n_shared AS BIGINT) AS only1, CAST(im.n - one.n_shared AS BIGINT) AS only2,
        ROUND(one.score, 4) AS winter, ROUND(one.score / im.w, 4) AS wcont2, ROUND(CAST(one.n_shared AS DOUBLE) / (dn.n + im.n - one.n_shared), 6) AS jaccard
 FROM one JOIN dn ON dn.doc_id = one.doc_id JOIN im ON im.item_id = one.item_id""",
-    "numeric_overlap": """WITH f AS (SELECT DISTINCT doc_id, num FROM (SELECT doc_id, {FIGURES} AS num FROM documents) x WHERE LENGTH(num) > 0),
+    "figure_counts": """WITH f AS (SELECT DISTINCT doc_id, num FROM (SELECT doc_id, {FIGURES} AS num FROM documents) x WHERE LENGTH(num) > 0),
 n AS (SELECT num, COUNT(*) AS df FROM f GROUP BY num)
 SELECT f.doc_id, CAST(SUM(CASE WHEN n.df > 1 THEN 1 ELSE 0 END) AS BIGINT) AS common, CAST(SUM(CASE WHEN n.df = 1 THEN 1 ELSE 0 END) AS BIGINT) AS lone
 FROM f JOIN n ON n.num = f.num GROUP BY f.doc_id""",
@@ -58,10 +58,11 @@ FROM f JOIN n ON n.num = f.num GROUP BY f.doc_id""",
     "decision_grid": _GRID,
     "oof_logloss_auc": f"""WITH {PAIRS},
 q AS (SELECT label, p, CAST(FLOOR(p * 1000) AS BIGINT) AS g FROM (SELECT label, LEAST(GREATEST(p, CAST(0.000001 AS DOUBLE)), CAST(0.999999 AS DOUBLE)) AS p FROM pairs) x),
-below AS (SELECT g, SUM(n) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS n FROM (SELECT g, COUNT(*) AS n FROM q GROUP BY g) y),
-r AS (SELECT q.label, q.p, below.n + RANK() OVER (PARTITION BY q.g ORDER BY q.p) AS lo, COUNT(*) OVER (PARTITION BY q.g, q.p) AS ties FROM q JOIN below ON below.g = q.g)
-SELECT CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(CASE WHEN label = 1 THEN -LN(p) ELSE -LN(1 - p) END), 6) AS logloss,
-       ROUND((SUM(CASE WHEN label = 1 THEN lo + CAST(ties - 1 AS DOUBLE) / 2 ELSE CAST(0 AS DOUBLE) END) - CAST(SUM(label) AS DOUBLE) * (SUM(label) + 1) / 2) / (CAST(SUM(label) AS DOUBLE) * (COUNT(*) - SUM(label))), 6) AS auc FROM r""",
+v AS (SELECT g, p, COUNT(*) AS n, SUM(label) AS pos FROM q GROUP BY g, p),
+below AS (SELECT g, SUM(n) OVER (ORDER BY g ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n AS n FROM (SELECT g, SUM(n) AS n FROM v GROUP BY g) y),
+r AS (SELECT v.p, v.n, v.pos, below.n + SUM(v.n) OVER (PARTITION BY v.g ORDER BY v.p ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - v.n + CAST(v.n + 1 AS DOUBLE) / 2 AS place FROM v JOIN below ON below.g = v.g)
+SELECT CAST(SUM(n) AS BIGINT) AS n, ROUND(SUM(-pos * LN(p) - (n - pos) * LN(1 - p)) / SUM(n), 6) AS logloss,
+       ROUND((SUM(pos * place) - CAST(SUM(pos) AS DOUBLE) * (SUM(pos) + 1) / 2) / (CAST(SUM(pos) AS DOUBLE) * (SUM(n) - SUM(pos))), 6) AS auc FROM r""",
     "submission_differences": f"WITH {PAIRS} SELECT ent AS id, 'seen only' AS kind FROM (SELECT ent FROM pairs EXCEPT SELECT o_orderkey FROM orders) a UNION ALL SELECT id, 'required only' AS kind FROM (SELECT o_orderkey AS id FROM orders EXCEPT SELECT ent FROM pairs) b",
 }
 

@@ -33,18 +33,18 @@ _THRESHOLD = "sel AS (SELECT ent, rec, p, label FROM pairs WHERE p >= CAST(0.5 A
 
 
 def _sides(side: str, other: str) -> str:
+    """Each pair among those of its side: sums are of exact decimals, the leader's ratio is 1, a lone pair's gap is its p."""
     w = f"PARTITION BY {side}"
+    best = "CASE WHEN rnk = 1 THEN top2 ELSE top1 END"
     return f"""WITH {PAIRS}, st AS (
-  SELECT {side}, {other}, p, ROW_NUMBER() OVER ({w} ORDER BY p DESC, {other}) AS rnk, MAX(p) OVER ({w}) AS top1,
-         COUNT(*) OVER ({w}) AS n, SUM(CASE WHEN p > CAST(0.5 AS DOUBLE) THEN 1 ELSE 0 END) OVER ({w}) AS c5,
-         SUM(CASE WHEN p > CAST(0.9 AS DOUBLE) THEN 1 ELSE 0 END) OVER ({w}) AS c9, SUM(p) OVER ({w}) AS total FROM pairs),
-two AS (SELECT *, MAX(CASE WHEN rnk = 2 THEN p END) OVER ({w}) AS top2 FROM st)
-SELECT {side}, {other}, CAST(rnk AS BIGINT) AS rnk, ROUND(top1, 6) AS top1, ROUND(top2, 6) AS top2, CAST(n AS BIGINT) AS n,
-       CAST(c5 AS BIGINT) AS c5, CAST(c9 AS BIGINT) AS c9, ROUND(total, 4) AS total,
-       ROUND(CASE WHEN rnk = 1 THEN p - top2 ELSE p - top1 END, 6) AS gap,
-       ROUND(p / GREATEST(COALESCE(CASE WHEN rnk = 1 THEN top2 ELSE top1 END, CAST(0 AS DOUBLE)), CAST(0.000001 AS DOUBLE)), 3) AS ratio,
-       ROUND(total - p, 4) AS sum_other
-FROM two"""
+  SELECT {side}, {other}, CAST(ROUND(p, 6) AS DECIMAL(20, 6)) AS p, ROW_NUMBER() OVER ({w} ORDER BY p DESC, {other}) AS rnk FROM pairs),
+full_st AS (SELECT *, MAX(p) OVER ({w}) AS top1, MAX(CASE WHEN rnk = 2 THEN p END) OVER ({w}) AS top2, COUNT(*) OVER ({w}) AS n,
+  SUM(CASE WHEN p > 0.5 THEN 1 ELSE 0 END) OVER ({w}) AS c5, SUM(CASE WHEN p > 0.9 THEN 1 ELSE 0 END) OVER ({w}) AS c9, SUM(p) OVER ({w}) AS total FROM st)
+SELECT {side}, {other}, CAST(rnk AS BIGINT) AS rnk, CAST(top1 AS DOUBLE) AS top1, CAST(top2 AS DOUBLE) AS top2, CAST(n AS BIGINT) AS n,
+       CAST(c5 AS BIGINT) AS c5, CAST(c9 AS BIGINT) AS c9, CAST(total AS DOUBLE) AS total, CAST({best} AS DOUBLE) AS other,
+       CAST(p - COALESCE({best}, 0) AS DOUBLE) AS gap, ROUND(CAST(p AS DOUBLE) / GREATEST(CAST(top1 AS DOUBLE), CAST(0.000001 AS DOUBLE)), 6) AS ratio,
+       CAST(total - p AS DOUBLE) AS sum_other, CAST(c5 - CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS c5_other, CAST(c9 - CASE WHEN p > 0.9 THEN 1 ELSE 0 END AS BIGINT) AS c9_other
+FROM full_st"""
 
 
 QUERIES = {
@@ -56,7 +56,7 @@ QUERIES = {
     "record_argmax": f"WITH {PAIRS} SELECT ent, rec, ROUND(p, 6) AS p FROM (SELECT ent, rec, p, ROW_NUMBER() OVER (PARTITION BY rec ORDER BY p DESC, ent) AS k FROM pairs) x WHERE k = 1",
     "group_stats_record": _sides("rec", "ent"),
     "group_stats_entity": _sides("ent", "rec"),
-    "owner_join": "SELECT c.c_custkey, c.c_nationkey, CAST(COUNT(o.o_orderkey) AS BIGINT) AS n_true FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_nationkey",
+    "customer_orders": "SELECT c.c_custkey, c.c_nationkey, CAST(COUNT(o.o_orderkey) AS BIGINT) AS n_true FROM customer c LEFT JOIN orders o ON o.o_custkey = c.c_custkey GROUP BY c.c_custkey, c.c_nationkey",
     "semi_anti_misses": "SELECT c_custkey, 'miss' AS kind FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey) UNION ALL SELECT c_custkey, 'kept' AS kind FROM customer c WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)",
     "recall_at_k": f"""WITH {PAIRS}, r AS (SELECT label, ROW_NUMBER() OVER (PARTITION BY rec ORDER BY p DESC, ent) AS k FROM pairs),
 h AS (SELECT k, SUM(label) AS hits FROM r GROUP BY k)
@@ -65,11 +65,9 @@ SELECT CAST(k AS BIGINT) AS k, CAST(SUM(hits) OVER (ORDER BY k) AS BIGINT) AS fo
   SELECT p.ent, p.rec, CASE WHEN p.label = 1 AND s.rec IS NULL THEN 'FN' WHEN p.label = 0 AND s.rec IS NOT NULL THEN 'FP' END AS kind, p.p
   FROM pairs p LEFT JOIN sel s ON s.ent = p.ent AND s.rec = p.rec)
 SELECT kind, CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(DISTINCT ent) AS BIGINT) AS entities, ROUND(AVG(p), 4) AS mean_p FROM e WHERE kind IS NOT NULL GROUP BY kind""",
-    "hash_sample": "SELECT o_orderkey FROM orders WHERE SUBSTR(MD5(CONCAT('7:', CAST(o_orderkey AS VARCHAR(20)))), 1, 2) < '40'",
-    "stratified_sample": "SELECT o_orderkey, o_orderpriority FROM (SELECT o_orderkey, o_orderpriority, ROW_NUMBER() OVER (PARTITION BY o_orderpriority ORDER BY MD5(CONCAT('s', CAST(o_orderkey AS VARCHAR(20)))), o_orderkey) AS k, COUNT(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders) x WHERE k * 10 <= n",
-    "entity_folds": "SELECT o_orderkey, CAST(ROW_NUMBER() OVER (PARTITION BY o_orderstatus ORDER BY MD5(CONCAT('f', CAST(o_orderkey AS VARCHAR(20)))), o_orderkey) % 5 AS BIGINT) AS fold FROM orders",
+    "hash_sample": "SELECT o_orderkey FROM orders WHERE SUBSTR(MD5(CONCAT('7:', CAST(o_orderkey AS VARCHAR(20)))), 1, 8) < '40000000'",
     "crosstab_margins": "SELECT COALESCE(CAST(quality AS VARCHAR(5)), 'all') AS quality, COALESCE(CAST(toxic AS VARCHAR(5)), 'all') AS toxic, CAST(COUNT(*) AS BIGINT) AS n FROM labels GROUP BY CUBE (quality, toxic)",
-    "profile_source": "SELECT lang, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(CASE WHEN text LIKE '%@%' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS with_at, CAST(MAX(n_chars) AS BIGINT) AS longest, CAST(COUNT(DISTINCT text) AS BIGINT) AS texts FROM documents GROUP BY lang",
+    "profile_source": "SELECT lang, CAST(COUNT(*) AS BIGINT) AS n, ROUND(AVG(CASE WHEN text LIKE '%@%' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS with_at, CAST(MAX(n_chars) AS BIGINT) AS longest, CAST(COUNT(DISTINCT MD5(text)) AS BIGINT) AS texts, CAST(PERCENTILE_CONT(0.5) WITHIN GROUP (ORDER BY n_chars) AS DOUBLE) AS median_length, ROUND(AVG(CASE WHEN LENGTH(TRIM(text)) = 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END), 6) AS empty FROM documents GROUP BY lang",
     "id_lists_counts": f"WITH {PAIRS}, {_THRESHOLD} SELECT o.o_orderkey AS ent, CAST(COUNT(s.rec) AS BIGINT) AS n, MIN(s.rec) AS first_id, MAX(s.rec) AS last_id FROM orders o LEFT JOIN sel s ON s.ent = o.o_orderkey GROUP BY o.o_orderkey",
     "validate_submission": f"""WITH {PAIRS}, {_THRESHOLD}
 SELECT 'unknown entity' AS violation, CAST(COUNT(*) AS BIGINT) AS n FROM sel LEFT JOIN orders ON o_orderkey = ent WHERE o_orderkey IS NULL

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,22 +13,8 @@ from kinspark.sources import delimited
 from kinspark.sources.shared import shared_path
 from kinspark.streaming import records
 
-from . import blocking_sql, linkage_sql
-from .linkage_sql import TABLES
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def run_sql(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    """A query over the folder's tables, under view names of its own so that folders don't mix."""
-    tag = uuid.uuid4().hex[:8]
-    for t in TABLES:
-        if re.search(rf"\b{t}\b", sql):
-            table(spark, sf_dir, t).createOrReplaceTempView(f"{t}_{tag}")
-            sql = re.sub(rf"\b(FROM|JOIN)\s+{t}\b", rf"\1 {t}_{tag}", sql)
-    return spark.sql(sql)
+from . import blocking_sql, linkage, linkage_oracle, linkage_sql
+from .tables import run_sql, table
 
 
 def _query(sql: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -112,3 +96,5 @@ SQL |= {
   FROM (SELECT l_orderkey, l_partkey, MAX(l_extendedprice) AS p FROM lineitem GROUP BY l_orderkey, l_partkey) x GROUP BY l_orderkey) y ON l_orderkey = o_orderkey""",
     "stream_records": "SELECT event_id, event_type, ROUND(value / NULLIF(MAX(value) OVER (PARTITION BY event_type), 0), 6) AS share FROM events",
 }
+QUERIES |= linkage.QUERIES
+SQL |= linkage_oracle.SQL

@@ -1,7 +1,10 @@
-"""Delimited sources and sinks of the linkage engine: records, ground truth, id lists."""
+"""Delimited sources and sinks of the linkage engine: records, ground truth, id lists, scores and reports."""
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,19 +50,59 @@ def duplicate_ids(records: DataFrame) -> DataFrame:
 
 
 def load_ground_truth(spark: SparkSession, path: str, s1: DataFrame) -> DataFrame:
-    """(s1_id, rec_id), distinct; entities without matches have one row with a null rec_id. A header is a first line whose
-    first cell names no entity; other unknown ids stay, as repeated entities' lists are united."""
-    lines = spark.read.text(path).select(F.split("value", "\t").alias("c")).select(F.trim(F.get("c", F.lit(0))).alias("s1_id"), F.coalesce(F.get("c", F.lit(1)), F.lit("")).alias("ids"))
+    """(s1_id, rec_id), distinct; entities without matches have one row with a null rec_id. A header is a first line (of each
+    file) whose first cell names no entity; other unknown ids stay, as repeated entities' lists are united."""
     known = s1.select(F.col("id").alias("s1_id")).distinct()
-    top = lines.first()
-    if top is not None and known.filter(F.col("s1_id") == top.s1_id).isEmpty():
-        lines = lines.filter(F.col("s1_id") != top.s1_id)
+    # as a header, the first line names the columns
+    top = spark.read.csv(path, sep="\t", header=True, quote="", encoding="UTF-8").columns
+    header = bool(top) and known.filter(F.col("s1_id") == top[0].strip()).isEmpty()
+    lines = spark.read.csv(path, sep="\t", header=header, quote="", encoding="UTF-8", schema="s1_id string, ids string")
+    lines = lines.select(F.trim("s1_id").alias("s1_id"), F.coalesce("ids", F.lit("")).alias("ids"))
     pairs = lines.select("s1_id", F.explode_outer(F.filter(F.transform(F.split("ids", ","), lambda x: F.trim(x)), lambda x: x != "")).alias("rec_id"))
     found = pairs.filter("rec_id is not null").distinct()
     everyone = known.unionByName(pairs.select("s1_id")).distinct()
     return everyone.join(found, "s1_id", "left")
 
 
+def unknown_entities(truth: DataFrame, s1: DataFrame) -> DataFrame:
+    """Entities that truth names and s1 (id) has not."""
+    return truth.select("s1_id").distinct().join(s1.select(F.col("id").alias("s1_id")), "s1_id", "left_anti")
+
+
+# Names of the files by what they hold, the first that fits goes.
+NAMES = {"s1": ["*source*1*", "*source_1*", "*src1*", "*s1*"], "s2": ["*source*2*", "*source_2*", "*src2*", "*s2*"], "s3": ["*source*3*", "*source_3*", "*src3*", "*s3*"], "gt": ["*ground*truth*", "*truth*", "*labels*"]}
+ENDINGS = (".tsv", ".csv", ".txt")
+
+
+def find_file(spark: SparkSession, folder: str, what: str) -> str | None:
+    """The first file of a folder, in any store that Spark reads, that by its name holds what: s1, s2, s3 or gt."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for name in NAMES[what]:
+        found = path(folder, name).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path(folder, name)) or []
+        hits = sorted(str(f.getPath().toString()) for f in found)
+        hits = [h for h in hits if h.lower().endswith(ENDINGS) and (what == "gt" or "truth" not in h.rsplit("/", 1)[-1].lower())]
+        if hits:
+            return hits[0]
+    return None
+
+
+@dataclass
+class Split:
+    s1: DataFrame
+    rec: DataFrame
+    truth: DataFrame | None
+
+
+def load_split(spark: SparkSession, folder: str, with_truth: bool = False, **paths: str) -> Split:
+    """Entities, records of both other sources and, if asked for, truth of a folder; paths (s1, s2, s3, gt) go before names."""
+    at = {k: paths.get(k) or find_file(spark, folder, k) for k in ("s1", "s2", "s3", *(["gt"] if with_truth else []))}
+    if missing := [k for k, p in at.items() if not p]:
+        raise FileNotFoundError(f"no file for {', '.join(missing)} in {folder}")
+    s1 = load_source(spark, at["s1"], 1)
+    rec = load_source(spark, at["s2"], 2).unionByName(load_source(spark, at["s3"], 3))
+    return Split(s1, rec, load_ground_truth(spark, at["gt"], s1) if with_truth else None)
+
+
 def count_rows(spark: SparkSession, path: str) -> int:
     return max(0, spark.read.text(path).count() - 1)
 
@@ -72,6 +115,32 @@ def id_lists(s1: DataFrame, pairs: DataFrame, ids: str = "matched_entity_ids") -
     return s1.select(F.col("id").alias("source1_entity_id")).join(lists, F.col("source1_entity_id") == F.col("s1_id"), "left").select("source1_entity_id", F.coalesce(ids, F.lit("")).alias(ids))
 
 
+def with_order(s1: DataFrame) -> DataFrame:
+    """s1 with place, which grows in the order of the input."""
+    return s1.withColumn("place", F.monotonically_increasing_id())
+
+
+def write_id_lists(s1: DataFrame, pairs: DataFrame, path: str, ids: str = "matched_entity_ids") -> int:
+    """id_lists of entities (id, place) in the order of place, as tab-separated files whose names sort in that order; returns how
+    many lists are not empty."""
+    lists = id_lists(s1, pairs, ids).join(s1.select(F.col("id").alias("source1_entity_id"), "place"), "source1_entity_id")
+    write_table(lists.orderBy("place").drop("place"), path)
+    return pairs.join(s1.select(F.col("id").alias("s1_id")), "s1_id", "left_semi").select("s1_id").distinct().count()
+
+
+def write_scores(pairs: DataFrame, path: str) -> None:
+    """All scored pairs (s1, rec, p, taken) with the columns that such a table has."""
+    write_table(pairs.select(F.col("s1").alias("source1_entity_id"), F.col("rec").alias("candidate_entity_id"), F.col("p").alias("prob"), F.col("taken").cast("int").alias("selected")), path)
+
+
+def write_reports(tables: dict[str, DataFrame], values: dict, folder: str) -> None:
+    """Each table as tab-separated files in a folder of its name, and values as one line of JSON in `report`."""
+    for name, df in tables.items():
+        write_table(df, f"{folder}/{name}")
+    spark = next(iter(tables.values())).sparkSession
+    spark.createDataFrame([(json.dumps(values, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/report")
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """A folder of tab-separated files with headers, unquoted."""
     df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", emptyValue="", nullValue="")
