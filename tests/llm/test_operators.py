@@ -63,6 +63,57 @@ def test_ngram_join_of_edited_copies(spark):
     assert kept == {k[2] for k in brute_components(rows, 4, 85)}
 
 
+def chains(seed, groups=6, links=9):
+    """Texts that drift away from each other step by step, so that no pivot is near all of a group."""
+    r, rows = random.Random(seed), []
+    for g in range(groups):
+        w = text(100 * seed + g, 140).split()
+        for k in range(links):
+            w = [f"n{r.random()}" if r.random() < 0.012 else x for x in w]
+            rows.append((len(rows), " ".join(w)))
+    return rows
+
+
+@pytest.mark.parametrize("limits", [{}, {"KEYS": 0, "COLUMNS": 0, "ROWS": 4, "BLOCK": 2000, "STAR": 2}])
+def test_ngram_join_of_chains(spark, monkeypatch, limits):
+    """Also beyond every size up to which something is broadcast or one block."""
+    for k, v in limits.items():
+        monkeypatch.setattr(ngram_join, k, v)
+    formed = []
+    tiles = ngram_join._tiles
+    monkeypatch.setattr(ngram_join, "_tiles", lambda *a: formed.append(1) or tiles(*a))
+    rows = chains(3)
+    got = ngram_join.similar(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 4, 85).collect()
+    want = brute_components(rows, 4, 85)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
+    assert formed and 6 <= len({k[2] for k in want}) < len(rows)
+
+
+def test_prefix_bound_loses_no_pair(spark):
+    """Every pair that reaches the similarity passes the bound on search columns; most others do not."""
+    rows = chains(5, 4, 6)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = ngram_join._sets(df, 4).cache()
+    postings = ngram_join._postings(df, ngram_join._column_counts(made), 4, 85)
+    cols = postings.groupBy("node").agg(F.collect_set("h").alias("hs"), *(F.max(c).alias(c) for c in ("n", "wr", "wh")))
+    node = {r.doc_id: r.node for r in made.filter("slice is null").collect()}
+    pairs = spark.createDataFrame([(node[a], node[b]) for a, _ in rows for b, _ in rows if node[a] != node[b]], "a long, b long").distinct()
+    kept = {(r.a, r.b) for r in ngram_join._possible(pairs, cols, 85).collect()}
+    s = {i: sets(t, 4) for i, t in rows}
+    near = {(node[a], node[b]) for a in s for b in s if node[a] != node[b] and 100 * len(s[a] & s[b]) >= 85 * len(s[a] | s[b])}
+    assert near and near <= kept and len(kept) < pairs.count() / 2
+
+
+def test_deduplicate_keeps_columns_of_any_name(spark):
+    rows = [(1, text(1, 60), 7, 8, 9, "r"), (2, text(1, 60), 1, 2, 3, "s"), (3, "", 4, 5, 6, "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _x int, _d int, x long, row string")
+    got = ngram_join.deduplicate(df)
+    assert got.columns == df.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
+    bench = spark.createDataFrame([(5, text(1, 60))], "item_id long, text string")
+    named = df.withColumnsRenamed({"_x": "_dx", "x": "found_d"})
+    assert sorted(map(tuple, decontaminate.clean(named, bench).collect())) == [rows[2]]
+
+
 def test_ngram_join_of_nothing(docs):
     assert ngram_join.similar(docs.limit(0)).collect() == []
 
