@@ -3,21 +3,33 @@ columns. NULL on either side gives NULL; two empty strings are alike (100, or 1
 
 from __future__ import annotations
 
+import itertools
+
 import pandas as pd
 from pyspark.sql import functions as F
 
 
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence; the column of matches is one integer, a bit for each character of a."""
+def _places(a: str) -> dict[str, int]:
+    """Where each character stands, a bit for each place."""
     places: dict[str, int] = {}
     for i, c in enumerate(a):
         places[c] = places.get(c, 0) | 1 << i
-    every = (1 << len(a)) - 1
+    return places
+
+
+def _common(places: dict[str, int], n: int, b: str) -> int:
+    """Longest common subsequence with the n characters of places; the column of matches is one integer."""
+    every = (1 << n) - 1
     free = every
     for c in b:
         hit = free & places.get(c, 0)
         free = ((free + hit) | (free - hit)) & every
-    return len(a) - free.bit_count()
+    return n - free.bit_count()
+
+
+def lcs_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence."""
+    return _common(_places(a), len(a), b)
 
 
 def indel_ratio(a: str, b: str) -> float:
@@ -26,15 +38,20 @@ def indel_ratio(a: str, b: str) -> float:
 
 
 def partial_ratio(a: str, b: str) -> float:
-    """Best indel ratio of the shorter string and a window of its length, cut off at the edges, in the longer one."""
+    """Best indel ratio of the shorter string and a window of its length, cut off at the edges, in the longer one. Windows are
+    tried by how many of their characters the shorter one has at all, which bounds their ratio."""
     short, long = sorted((a, b), key=len)
     if not short:
         return 100.0 if not long else 0.0
-    n, best = len(short), 0.0
-    for i in range(1 - n, len(long)):
-        best = max(best, indel_ratio(short, long[max(0, i) : i + n]))
-        if best == 100.0:
+    n, places = len(short), _places(short)
+    known = [0, *itertools.accumulate(c in places for c in long)]
+    windows = [(lo, min(len(long), i + n)) for i in range(1 - n, len(long)) for lo in (max(0, i),)]
+    bounds = sorted(((200.0 * (known[hi] - known[lo]) / (n + hi - lo), lo, hi) for lo, hi in windows), reverse=True)
+    best = 0.0
+    for bound, lo, hi in bounds:
+        if bound <= best:
             break
+        best = max(best, 200.0 * _common(places, n, long[lo:hi]) / (n + hi - lo))
     return best
 
 

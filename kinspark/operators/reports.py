@@ -95,6 +95,12 @@ def loss_table(lost: DataFrame, entities: int) -> DataFrame:
     return lost.groupBy("kind", "tags").agg(F.count("*").alias("pairs"), (100 * F.sum(F.col("pts").cast("decimal(30,15)")) / entities).cast("double").alias("pts"))
 
 
+def worst(lost: DataFrame, most: int) -> DataFrame:
+    """Of each kind the most errors of the greatest pts, with their place."""
+    by = Window.partitionBy("kind").orderBy(F.desc("pts"), "s1", "rec")
+    return lost.withColumn("place", F.row_number().over(by).cast("long")).filter(F.col("place") <= most)
+
+
 def error_buckets(errors: DataFrame, s1: DataFrame, threshold: float, chain: int = 5) -> DataFrame:
     """errors (kind, p, n_true, s1_name, s1_address, rec_name, rec_address) with buckets, one or more for each error."""
     chains = s1.groupBy(F.lower("name").alias("_low")).agg((F.count("*") >= chain).alias("_chain"))

@@ -181,6 +181,7 @@ FROM sums, (SELECT SUM(n_true) AS t, AVG(f) AS ca, AVG(f) FILTER (n_true > 0) AS
     "blocking_misses": f"{_READY}, {_CAP} SELECT r.owner AS s1, r.id AS rec, CASE WHEN c.kept IS NULL THEN 'not_generated' ELSE 'capped' END AS reason FROM prepared r LEFT JOIN capped c ON c.rec = r.id AND c.s1 = r.owner WHERE r.source > 1 AND NOT coalesce(c.kept, FALSE)",
     "entity_gains": f"{_READY}, {_GAINS} SELECT s1, {', '.join(f'CAST({c} AS BIGINT) AS {c}' for c in ('n_true', 'tp', 'n_pred', 'n_fp', 'n_fn', 'n_miss'))}, {', '.join(f'round({c}, 5) AS {c}' for c in ('f', 'gain_fp', 'gain_fn', 'gain_miss'))} FROM gains",
     "pair_losses": f"{_READY}, {_LOST} SELECT kind, s1, rec, p, round(pts, 5) AS pts FROM lost",
+    "worst_errors": f"{_READY}, {_LOST} SELECT * FROM (SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY round(pts, 5) DESC, s1, rec) AS place, s1, rec, round(pts, 5) AS pts FROM lost) WHERE place <= 15",
     "error_cross_table": f"""{_READY}, {_LOST}, chains AS (SELECT lower({_RAW_NAME}) AS nm FROM prepared WHERE source = 1 GROUP BY 1 HAVING COUNT(*) >= 5),
 marks AS (SELECT CASE kind WHEN 'MISS' THEN 'FN_blocking' ELSE kind END AS kind, list_filter([CASE WHEN abs(coalesce(p, -1) - 0.6) < 0.25 THEN 'boundary' END, CASE WHEN length(b.addr_n) < 5 OR length(a.addr_n) < 5 THEN 'sparse:no_address' END,
   CASE WHEN c.n_true = 0 THEN 'edge:singleton' END, CASE WHEN lower(trim(upper(a.core) || CASE WHEN a.legal = '' THEN '' ELSE ' ' || a.legal || '.' END)) IN (SELECT nm FROM chains) THEN 'edge:chain' END], lambda x: x IS NOT NULL) AS l
