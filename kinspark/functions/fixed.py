@@ -114,3 +114,6 @@ INDIC_SIGNS = {0x00: "n n n h".split()}
 INDIC_NUKTA, INDIC_VIRAMA, INDIC_ZERO, INDIC_STOPS = 0x3C, 0x4D, 0x66, (0x64, 0x65)
 #: Blocks whose words lose a last short a, and consonants (ya, ra, va) after which it stays in a conjunct.
 SCHWA_BLOCKS, SCHWA_KEPT = (0x0900, 0x0A00, 0x0A80), (0x2F, 0x30, 0x35)
+
+# Characters that a judge of pairs reads, numbered from 3; before a pair stands a 1.
+CHARACTERS, PAIR_SIGN = " abcdefghijklmnopqrstuvwxyz0123456789", 1

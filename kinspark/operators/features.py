@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinspark.functions.fixed import PAIR_SIGN
 from kinspark.functions.metrics import measure
 from kinspark.functions.text import leading_int, missing_eq
 
@@ -201,3 +202,10 @@ def judge_features(scored: DataFrame) -> DataFrame:
         best = F.when(rank == 1, F.nth_value("pc", 2).over(whole)).otherwise(F.first("pc").over(whole))
         x = x.withColumns({f"ce_{side}_rank": rank.cast("long"), f"ce_{side}_gap": F.col("pc") - F.coalesce(best, F.lit(0.0))})
     return x.select("rec", "s1", F.col("logit").alias("ce_logit"), "ce_rec_rank", "ce_rec_gap", "ce_ent_rank", "ce_ent_gap", F.sqrt(F.col("pc") * F.least(F.greatest(F.col("p"), F.lit(0.0)), F.lit(1.0))).alias("ce_x_p1"))
+
+
+def pair_codes(pairs: DataFrame, s1: DataFrame, rec: DataFrame) -> DataFrame:
+    """pairs (s1, rec) with codes: what a judge reads of them, the sign of a pair and both sides' name_ids and addr_ids."""
+    a = s1.select(F.col("id").alias("s1"), F.concat("name_ids", "addr_ids").alias("_a"))
+    b = rec.select(F.col("id").alias("rec"), F.concat("name_ids", "addr_ids").alias("_b"))
+    return pairs.join(a, "s1").join(b, "rec").withColumn("codes", F.concat(F.array(F.lit(PAIR_SIGN)), "_a", "_b")).drop("_a", "_b")

@@ -128,6 +128,18 @@ def country_summary(s1: DataFrame, pairs: DataFrame) -> DataFrame:
     return x.groupBy("country").agg(F.count("*").alias("entities"), F.avg("n_pred").alias("mean_matches"), F.avg((F.col("n_pred") == 0).cast("double")).alias("empty_rate"), F.avg("n_cand").alias("mean_candidates"), F.avg("top").alias("mean_top_p"))
 
 
+def profile(records: DataFrame) -> DataFrame:
+    """Of records by country and source: rows, shares of empty addresses, of such with a word null, of native and of other than
+    ASCII names, and median lengths."""
+    share = lambda c: F.avg(c.cast("double"))
+    name, address = F.coalesce("name", F.lit("")), F.coalesce("address", F.lit(""))
+    return records.groupBy("country", "source").agg(
+        F.count("*").alias("rows"), share(F.trim(address) == "").alias("empty_address"), share(F.rlike(address, F.lit(r"(?i)\bnull\b"))).alias("null_in_address"),
+        share(F.rlike(name, F.lit(NATIVE))).alias("native_name"), share(F.rlike(name, F.lit(r"[^\x{0}-\x{7f}]"))).alias("other_name"),
+        F.percentile(F.length(name), F.lit(0.5)).alias("name_length"), F.percentile(F.length(address), F.lit(0.5)).alias("address_length"),
+    )
+
+
 def truth_statistics(counts: DataFrame, most: int = 10) -> DataFrame:
     """(n_matches clipped at most, entities, share) of counts (n_true), and the overall mean and greatest."""
     whole = Window.partitionBy()

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .linkage_sql import PAIRS
-from .roles import BOTH, PREPARED
+from .roles import BOTH, PREPARED, RAW
 
 _READY = f"""WITH {BOTH}, {PREPARED},
 sizes AS (SELECT ckey, COUNT(*) AS n FROM prepared WHERE source = 1 GROUP BY ckey)"""
@@ -164,6 +164,8 @@ bare AS (SELECT r.id, r.owner, s.k, regexp_replace(lower(r.core || r.legal), '[^
 lost AS (SELECT owner, COUNT(*) AS l FROM bare WHERE k > 1 GROUP BY owner), {_COUNTS},
 cost AS (SELECT AVG(CASE WHEN l IS NULL THEN 0.0 WHEN n_true - l > 0 THEN 1 - 1.25 * (n_true - l) / (0.25 * n_true + n_true - l) ELSE 1.0 END) AS loss FROM counts LEFT JOIN lost ON owner = ent)"""
 
+_codes = lambda c, width: f"list_transform(range(1, {width + 1}), lambda i: CASE WHEN i > length({c}) THEN 0 WHEN strpos(' abcdefghijklmnopqrstuvwxyz0123456789', substr({c}, i, 1)) = 0 THEN 2 ELSE strpos(' abcdefghijklmnopqrstuvwxyz0123456789', substr({c}, i, 1)) + 2 END)"
+
 SQL = {
     "prepared_records": f"{_READY} SELECT id, ckey, name_n, core, compact, initials, first_tok, meta_first, sdx_first, phon, legal, addr_n, trim(core || ' ' || addr_n) AS \"full\", core AS core_toks, addr_n AS addr_toks, name_nums, addr_nums, house, street, street_type, unit, postal, FALSE AS translit FROM prepared",
     "states": f"{_READY} SELECT id, state FROM prepared",
@@ -190,6 +192,11 @@ each AS (SELECT kind, unnest(CASE WHEN len(l) = 0 THEN ['other'] ELSE l END) AS
 SELECT coalesce(bucket, 'All') AS bucket, coalesce(kind, 'All') AS kind, COUNT(*) AS n FROM each GROUP BY CUBE (bucket, kind)""",
     "country_summary": f"""{_READY}, {_SCORED}, per AS (SELECT s1, SUM(CASE WHEN taken THEN 1 ELSE 0 END) AS np, COUNT(*) AS nc, max(p) AS top FROM scored WHERE kept GROUP BY s1)
 SELECT country, COUNT(*) AS entities, round(AVG(coalesce(np, 0)), 5) AS mean_matches, round(AVG(CASE WHEN coalesce(np, 0) = 0 THEN 1.0 ELSE 0.0 END), 5) AS empty_rate, round(AVG(coalesce(nc, 0)), 5) AS mean_candidates, round(AVG(coalesce(top, 0)), 5) AS mean_top_p FROM prepared e LEFT JOIN per ON per.s1 = e.id WHERE e.source = 1 GROUP BY country""",
+    "record_profile": f"WITH {BOTH}, raw AS ({RAW}) SELECT country, CAST(source AS BIGINT) AS source, COUNT(*) AS rows, round(AVG(CASE WHEN address = '' THEN 1.0 ELSE 0.0 END), 6) AS empty_address, 0.0::DOUBLE AS null_in_address, 0.0::DOUBLE AS native_name, 0.0::DOUBLE AS other_name, median(length(name)) AS name_length, median(length(address)) AS address_length FROM raw GROUP BY country, source",
+    "pair_codes": f"""WITH {BOTH}, said AS (SELECT id, owner, trim(lower(name)) AS n, lower(address) AS a FROM ({RAW})),
+bare AS (SELECT id, owner, trim(replace(n, '.', '')) AS n, replace(a, ',', '') AS a FROM said),
+coded AS (SELECT id, owner, list_concat({_codes('n', 24)}, {_codes('a', 32)}) AS c FROM bare)
+SELECT e.id AS s1, r.id AS rec, array_to_string(list_concat([1], e.c, r.c), ' ') AS codes FROM coded r JOIN coded e ON e.id = r.owner""",
     "truth_statistics": f"{_READY}, {_COUNTS} SELECT least(n_true, 10) AS n_matches, COUNT(*) AS entities, round(COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE), 6) AS share, round((SELECT AVG(n_true) FROM counts), 6) AS mean, (SELECT max(n_true) FROM counts) AS greatest FROM counts GROUP BY 1",
     "truth_violations": f"{_READY} SELECT CAST(0 AS BIGINT) AS owned_twice, COUNT(*) AS owned, CAST(SUM(CASE WHEN e.ckey <> r.ckey THEN 1 ELSE 0 END) AS BIGINT) AS cross_country, COUNT(*) AS pairs FROM prepared r JOIN prepared e ON e.id = r.owner",
     "upper_bound": f"{_BARE} SELECT COUNT(*) AS records, COUNT(*) FILTER (k > 1) AS ambiguous, COUNT(*) FILTER (same) AS exact, round(any_value(loss), 6) AS loss, round(1 - any_value(loss), 6) AS best FROM bare, cost",
