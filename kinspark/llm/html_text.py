@@ -6,7 +6,8 @@ either side is good and none is nearer and bad); blocks inside an article elemen
 nothing decided stands around them inside that article.
 
 Defined cases: a null or empty page gives the empty text; a page cut short anywhere is read as far as it goes; blocks
-without text vanish; page order is kept; on a page whose longer blocks match no list of stop words, length and link density
+without text vanish; page order is kept; pages of any length are read whole; repeated rows are rows of their own; columns kept go under other names
+meanwhile, so theirs cannot clash; on a page whose longer blocks match no list of stop words, length and link density
 decide.
 """
 
@@ -242,14 +243,14 @@ def main_text(page: str | None) -> str:
 def extract_pages(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), html_col: str = "html") -> DataFrame:
     """keep, text and n_chars of each page."""
     arrow_limits(pages.sparkSession)
-    src = pages.select(*[F.col(k) for k in keep], F.col(html_col).alias("_h"))
-    schema = src.drop("_h").withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
+    src = pages.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(html_col).alias("h"))
+    schema = src.drop("h").withColumns({"text": F.lit(""), "n_chars": F.lit(0).cast("long")}).schema
     for f in schema.fields:
         f.nullable = True
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(x) for x in batch.column("_h").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.fieldNames())
+            texts = [main_text(x) for x in batch.column("h").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())], names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).toDF(*keep, *schema.fieldNames()[len(keep) :])

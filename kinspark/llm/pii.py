@@ -197,8 +197,8 @@ def surrogates(values: DataFrame, secret: str) -> DataFrame:
 
 def replace_documents(df: DataFrame, secret: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, the text with surrogates and n_replaced of each row."""
-    keys = list(keep)
-    docs = df.select(*[F.col(k) for k in keys], F.col(text_col).alias("_t"))
+    keys = [f"k{i}" for i in range(len(keep))]  # other names meanwhile: theirs may be ours
+    docs = df.select(*[F.col(c).alias(k) for c, k in zip(keep, keys)], F.col(text_col).alias("_t"))
     hinted = F.coalesce(F.col("_t").rlike(HINT), F.lit(False))
     some = docs.filter(hinted).withColumn("_x", F.xxhash64("_t")).withColumn("_y", F.octet_length("_t"))
     found = F.regexp_extract_all("_t", F.lit(FOUND), F.lit(0))
@@ -224,4 +224,4 @@ def replace_documents(df: DataFrame, secret: str, text_col: str = "text", keep:
     changed = F.when(F.col("_by").isNull(), F.struct(F.lit(None).cast("array<string>").alias("_p"), F.lit(None).cast("array<string>").alias("_e"))).otherwise(F.struct(parts.alias("_p"), again.alias("_e")))
     out = out.withColumn("_c", changed).select(*keys, "_t", "_by", "_names", F.col("_c._p").alias("_p"), F.col("_c._e").alias("_e")).withColumn("_q", pieces)
     out = out.select(*keys, F.when(F.col("_by").isNull(), F.col("_t")).otherwise(text).alias("text"), F.when(F.col("_by").isNull(), 0).otherwise(count).cast("long").alias("n_replaced"))
-    return docs.filter(~hinted).select(*keys, F.col("_t").alias("text"), F.lit(0).cast("long").alias("n_replaced")).unionByName(out)
+    return docs.filter(~hinted).select(*keys, F.col("_t").alias("text"), F.lit(0).cast("long").alias("n_replaced")).unionByName(out).toDF(*keep, "text", "n_replaced")

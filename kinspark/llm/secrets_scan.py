@@ -3,7 +3,8 @@
 Base kinds are assign, access and hex; the method adds github (a token whose last six characters are the base-62 CRC-32
 of the thirty before), npm (the same layout) and key (a PEM private key block). Spans are code points, end exclusive.
 Defined cases: null and empty texts have no spans; a match that fails its length test still consumes its characters, as
-leftmost non-overlapping matching does; equal rows give equal results.
+leftmost non-overlapping matching does; equal rows give equal results; texts of any length are scanned whole; columns kept go
+under other names meanwhile, so theirs cannot clash.
 """
 
 from __future__ import annotations
@@ -127,23 +128,23 @@ def redact(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
 def scan_documents(df: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """keep, n_assign, n_access, n_hex, base_sha256, spans and redacted (null where nothing was found) of each row."""
     arrow_limits(df.sparkSession)
-    src = df.select(*[F.col(k) for k in keep], F.col(text_col).alias("_t"))
-    schema = src.drop("_t").withColumns({**{f"n_{k}": F.lit(0).cast("long") for k in _BASE}, "base_sha256": F.lit(""), "spans": F.lit(""), "redacted": F.lit("")}).schema
+    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text_col).alias("t"))
+    schema = src.drop("t").withColumns({**{f"n_{k}": F.lit(0).cast("long") for k in _BASE}, "base_sha256": F.lit(""), "spans": F.lit(""), "redacted": F.lit("")}).schema
     for f in schema.fields:
         f.nullable = True
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("_t").to_pylist()
+            texts = batch.column("t").to_pylist()
             spans = [scan(t) for t in texts]
-            cols = [batch.column(k) for k in keep]
+            cols = batch.columns[: len(keep)]
             cols += [pa.array([sum(x[0] == k for x in s) for s in spans], pa.int64()) for k in _BASE]
             cols.append(pa.array([hashlib.sha256(joined([x for x in s if x[0] in _BASE]).encode()).hexdigest() for s in spans], pa.string()))
             cols.append(pa.array(map(joined, spans), pa.string()))
             cols.append(pa.array([redact(t, s) if s else None for t, s in zip(texts, spans, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).toDF(*keep, *schema.fieldNames()[len(keep) :])
 
 
 def redact_documents(df: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:

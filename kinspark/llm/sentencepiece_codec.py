@@ -225,13 +225,13 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
     spark = df.sparkSession
     arrow_limits(spark)
     shared = spark.sparkContext.broadcast(model)  # half a megabyte, whatever the input
-    src = df.select(*[F.col(k) for k in keep], F.col(text_col).alias("_t"))
-    schema = src.drop("_t").withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit("")} | ({"ids": F.array(F.lit(0))} if with_ids else {}) | ({"decoded": F.lit("")} if with_text else {})).schema
+    src = df.select(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keep)], F.col(text_col).alias("t"))
+    schema = src.drop("t").withColumns({"n_tokens": F.lit(0).cast("long"), "ids_sha256": F.lit(""), "decoded_sha256": F.lit("")} | ({"ids": F.array(F.lit(0))} if with_ids else {}) | ({"decoded": F.lit("")} if with_text else {})).schema
 
     def run(batches):
         c = codec(shared.value)
         for batch in batches:
-            texts = batch.column("_t").to_pylist()
+            texts = batch.column("t").to_pylist()
             enc = [c.encode(t) for t in texts]
             c.check(texts, enc)
             dec, digests = [] if with_text else None, []
@@ -240,7 +240,7 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
                 digests.append(hashlib.sha256(d.encode()).hexdigest())
                 if with_text:
                     dec.append(d)
-            cols = [batch.column(k) for k in keep]
+            cols = batch.columns[: len(keep)]
             cols += [pa.array([len(b) // 4 for b in enc], pa.int64()), pa.array([hashlib.sha256(b).hexdigest() for b in enc], pa.string()), pa.array(digests, pa.string())]
             if with_ids:
                 ends = np.cumsum([0, *(len(b) // 4 for b in enc)], dtype=np.int32)
@@ -251,4 +251,4 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
 
     for f in schema.fields:
         f.nullable = True
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(run, schema).toDF(*keep, *schema.fieldNames()[len(keep) :])

@@ -256,6 +256,13 @@ def test_pipeline_of_nothing(spark, tmp_path):
     assert corpus_pipeline.run(spark, sf).collect() == []
 
 
+def test_columns_kept_may_have_any_name(spark):
+    df = spark.createDataFrame([(1, 2, 3, "Mr Lee, token=abcdefghijkl <p>x"), (1, 2, 3, None)], "_t int, t int, _by int, text string")
+    keep, model = ("_t", "t", "_by"), queries.piece_model()
+    for out in (pii.replace_documents(df, "k", keep=keep), secrets_scan.scan_documents(df, keep=keep), sentencepiece_codec.encode_documents(df, model, keep=keep), html_text.extract_pages(df, keep=keep, html_col="text"), quality.score_documents(df, 0.5, keep=keep)):
+        assert out.columns[:3] == list(keep) and [tuple(r)[:3] for r in out.collect()] == [(1, 2, 3)] * 2
+
+
 def test_scratch_of_others_stays(spark, tmp_path):
     df = spark.range(5)
     mine, theirs = [], common.materialise(df, "theirs")
