@@ -57,6 +57,11 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return out
 
 
+def small(keys: DataFrame, limit: int) -> DataFrame:
+    """Keys that large rows meet: broadcast up to limit of them, so that the rows are shuffled once or not at all."""
+    return F.broadcast(keys) if keys.count() <= limit else keys
+
+
 def delete(spark: SparkSession, paths: list[str]) -> None:
     """Remove tables that nothing will read again."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

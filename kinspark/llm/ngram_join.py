@@ -33,13 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, done_with, materialise, whole_row
+from .common import arrow_limits, done_with, materialise, small, whole_row
 
 #: Hash buckets of the n-gram counts, their slices, bytes hashed at a time, and n-grams of a block's rows that are aimed at.
 BUCKETS, SLICES, PIECE, BLOCK = 1 << 24, 64, 1 << 20, 400_000
 #: Rows of a product at most, and of a block with its pivot.
 ROWS, STAR = 800, 64
-#: Documents needed for a product up to which their keys are broadcast to the scan of the texts; beyond, both are shuffled.
+#: Documents needed for a product, or dropped as copies, up to which their keys are broadcast to the scan of the texts; beyond,
+#: both are shuffled.
 KEYS = 500_000
 #: Columns up to which a table of them (a few longs each) is broadcast to the search entries; beyond, both are shuffled.
 COLUMNS = 2_000_000
@@ -221,11 +222,6 @@ def _full_rows(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int) -
     return _texts(docs).join(keys, "x", "left_semi").mapInArrow(rows, "node long, s binary")
 
 
-def _small(keys: DataFrame, limit: int) -> DataFrame:
-    """Keys of large rows: broadcast up to limit of them, so that the rows are shuffled once or not at all."""
-    return F.broadcast(keys) if keys.count() <= limit else keys
-
-
 def _by_group(df: DataFrame, keys: list[str], product, schema: str) -> DataFrame:
     """product, a function of a table to a table of schema, of the rows of each group in turn. Groups are bounded by those
     who make them; many small ones share a batch, which grouped Arrow functions would not let them."""
@@ -266,7 +262,7 @@ def _verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, words: int, pe
     blocks = materialise(blocks, "ngram-blocks")
     wanted = blocks.select("a", "k", F.col("b").alias("node")).unionByName(blocks.select("a", "k", F.col("a").alias("node")).distinct())
     full = _full_rows(docs, sets, blocks.select(F.explode(F.array("a", "b")).alias("node")).distinct(), words)
-    members = full.join(_small(materialise(wanted, "ngram-wanted"), KEYS), "node")
+    members = full.join(small(materialise(wanted, "ngram-wanted"), KEYS), "node")
 
     def product(table: pa.Table) -> pa.Table:
         pivot = table.column("a")[0].as_py()
@@ -356,7 +352,7 @@ def _tiles(docs: DataFrame, sets: DataFrame, dealt: DataFrame, words: int, perce
         ends = np.unique(np.stack([roots[a], roots[b]]), axis=1)
         return pa.table({"a": ends[0], "b": ends[1]})
 
-    return _by_group(full.join(_small(dealt, KEYS), "node").select("g", "i", "j", "node", "root", "s"), ["g", "i", "j"], product, "a long, b long").distinct()
+    return _by_group(full.join(small(dealt, KEYS), "node").select("g", "i", "j", "node", "root", "s"), ["g", "i", "j"], product, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -390,14 +386,14 @@ def similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     # columns of at least two rows
     shared = postings.groupBy("h").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo != hi").select("h")
     shared = materialise(shared, "ngram-columns")
-    rows = postings.join(_small(shared, COLUMNS), "h", "left_semi").groupBy("node").agg(F.collect_set("h").alias("hs"), *(F.max(c).alias(c) for c in ("n", "wr", "wh")))
+    rows = postings.join(small(shared, COLUMNS), "h", "left_semi").groupBy("node").agg(F.collect_set("h").alias("hs"), *(F.max(c).alias(c) for c in ("n", "wr", "wh")))
     rows = materialise(rows, "ngram-rows")
     done_with(postings, shared)
     # a column's pivot is the row that shares the largest part of its own search columns: of edited copies, the original
     live = rows.select(F.explode("hs").alias("h"), "node", "n", (F.size("hs") / _prefix_of(F.col("n"), percent)).alias("part"))
     pivot = live.groupBy("h").agg(F.max(F.struct("part", "node", "n")).alias("p")).select("h", F.col("p.node").alias("a"), F.col("p.n").alias("an"))
     pivot = materialise(pivot, "ngram-pivots")
-    live = materialise(live.drop("part").join(_small(pivot, COLUMNS), "h").filter("node != a"), "ngram-live")
+    live = materialise(live.drop("part").join(small(pivot, COLUMNS), "h").filter("node != a"), "ngram-live")
     done_with(pivot)
     pivots = materialise(live.filter(_near("an", "n", percent)).select("a", F.col("node").alias("b")).distinct(), "ngram-pairs")
     pivots = materialise(_possible(pivots, rows, percent), "ngram-possible")
@@ -411,7 +407,7 @@ def similar(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     done_with(live)
     undecided = known.groupBy("h", "c").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("h", "c")
     undecided = materialise(undecided, "ngram-undecided")
-    members = known.join(_small(undecided, COLUMNS), ["h", "c"], "left_semi").select(F.xxhash64("a", "c").alias("g"), "node", "n", "root").distinct()
+    members = known.join(small(undecided, COLUMNS), ["h", "c"], "left_semi").select(F.xxhash64("a", "c").alias("g"), "node", "n", "root").distinct()
     members = materialise(members, "ngram-members")
     done_with(known, undecided)
     dealt = materialise(_survivors(materialise(_dealt(members), "ngram-tiles"), rows, percent), "ngram-survivors")
@@ -446,7 +442,7 @@ def deduplicate(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     key = lambda t: t.select(F.col("doc_id").alias("to_d"), F.col("x").alias("to_x"))
     same = F.col("d").eqNullSafe(F.col("to_d")) & (F.col("x") == F.col("to_x"))
     repeated = out.filter("kept and rows > 1")
-    stay = marked.join(key(out.filter("not kept or rows > 1")), same, "left_anti")
+    stay = marked.join(small(key(out.filter("not kept or rows > 1")), KEYS), same, "left_anti")
     if repeated.head(1):  # rows that repeat both doc_id and text: one of them
-        stay = stay.unionByName(marked.join(key(repeated), same, "left_semi").dropDuplicates(["d", "x"]))
+        stay = stay.unionByName(marked.join(small(key(repeated), KEYS), same, "left_semi").dropDuplicates(["d", "x"]))
     return stay.select("row.*")
