@@ -78,10 +78,14 @@ def number_overlap(prefix: str, a: Column, b: Column) -> dict[str, Column]:
     return {f"{prefix}_common": n, f"{prefix}_only1": F.when(~none, na - n), f"{prefix}_only2": F.when(~none, nb - n)}
 
 
-def joined(cand: DataFrame, s1: DataFrame, rec: DataFrame) -> DataFrame:
-    """cand with both records' columns as structs a (of s1) and b (of rec)."""
+def joined(cand: DataFrame, s1: DataFrame, rec: DataFrame, by_entity: bool = False) -> DataFrame:
+    """cand with both records' columns as structs a (of s1) and b (of rec). Pairs of a record come together, or those of an entity,
+    whose records are much alike, so that a batch measures fewer texts."""
     side = lambda t, key, to: t.select(F.col("id").alias(key), F.struct(*[c for c in t.columns if c != "id"]).alias(to))
-    return cand.join(side(s1, "s1", "a"), "s1").join(side(rec, "rec", "b"), "rec")
+    sides = [(side(s1, "s1", "a"), "s1"), (side(rec, "rec", "b"), "rec")]
+    for t, key in reversed(sides) if by_entity else sides:
+        cand = cand.join(t, key)
+    return cand
 
 
 def flags() -> dict[str, Column]:
