@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import contextlib
 import contextvars
+import ctypes
+import functools
 import gc
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,26 @@ def arrow_limits(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
+def frugal(run):
+    """A function for mapInArrow after whose tasks the worker, which Spark keeps for other ones, gives freed memory back."""
+
+    @functools.wraps(run)
+    def frugal_run(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return frugal_run
+
+
+def give_back() -> None:
+    """Freed memory that the allocators of this process hold goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of a row as one struct, so that no name of theirs can clash with an operator's own."""
     return F.struct(*[F.col(f"`{c.replace('`', '``')}`") for c in df.columns])

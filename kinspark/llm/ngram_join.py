@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits, done_with, materialise, small, whole_row
+from .common import arrow_limits, done_with, frugal, materialise, small, whole_row
 
 #: Hash buckets of the n-gram counts, their slices, bytes hashed at a time, and n-grams of a block's rows that are aimed at.
 BUCKETS, SLICES, PIECE, BLOCK = 1 << 24, 64, 1 << 20, 400_000
@@ -127,6 +127,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("x"), F.col("text").cast("binary").alias("t"))
 
 
+def _count(counts: np.ndarray, buckets: np.ndarray) -> None:
+    """Adds one for each of the buckets, to the greatest number that counts can hold."""
+    at, more = np.unique(buckets, return_counts=True)
+    counts[at] = np.minimum(counts[at] + more, np.iinfo(counts.dtype).max)
+
+
 def _sets(docs: DataFrame, words: int) -> DataFrame:
     """A row of each document (doc_id, x: hash of the text, n, node) and rows of counts by bucket (slice, counts)."""
     schema = pa.schema([("doc_id", pa.int64()), ("x", pa.int64()), ("n", pa.int32()), ("node", pa.int64()), ("slice", pa.int32()), ("counts", pa.binary())])
@@ -134,18 +140,18 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches):
         import zstandard
 
-        counts = np.zeros(BUCKETS, np.uint32)
+        counts = np.zeros(BUCKETS, np.uint16)
         for batch in batches:
             sets = shingle_sets(batch.column("t").to_pylist(), words)
             if sets:
-                np.add.at(counts, np.concatenate(sets) & np.uint64(BUCKETS - 1), 1)
+                _count(counts, np.concatenate(sets) & np.uint64(BUCKETS - 1))
             n = len(sets)
             yield _arrow({"doc_id": batch.column("doc_id"), "x": batch.column("x"), "n": [len(s) for s in sets], "node": [node_of(s) if len(s) else None for s in sets], "slice": [None] * n, "counts": [None] * n}, schema)
-        packed = [zstandard.ZstdCompressor(level=3).compress(np.minimum(c, 65535).astype(np.uint16).tobytes()) for c in counts.reshape(SLICES, -1)] if counts.any() else []
+        packed = [zstandard.ZstdCompressor(level=3).compress(c.tobytes()) for c in counts.reshape(SLICES, -1)] if counts.any() else []
         n = len(packed)
         yield _arrow({"doc_id": [None] * n, "x": [None] * n, "n": [None] * n, "node": [None] * n, "slice": range(n), "counts": packed}, schema)
 
-    return _texts(docs).mapInArrow(run, "doc_id long, x long, n int, node long, slice int, counts binary")
+    return _texts(docs).mapInArrow(frugal(run), "doc_id long, x long, n int, node long, slice int, counts binary")
 
 
 def _rank(counts: np.ndarray) -> np.ndarray:
@@ -166,7 +172,7 @@ def _column_counts(sets: DataFrame) -> np.ndarray:
                 total[k] = total[k] + add if k in total else add
         yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([_rank(c).tobytes() for c in total.values()], pa.binary())], names=["slice", "counts"])
 
-    rows = sets.filter("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(run, "slice int, counts binary").collect()
+    rows = sets.filter("slice is not null").select("slice", "counts").repartition(SLICES, "slice").mapInArrow(frugal(run), "slice int, counts binary").collect()
     out = np.zeros((SLICES, BUCKETS // SLICES), np.uint8)
     for k, c in rows:
         out[k] = np.frombuffer(c, np.uint8)
@@ -196,7 +202,7 @@ def _postings(docs: DataFrame, counts: np.ndarray, words: int, percent: int) ->
                 each = lambda values, kind: np.repeat(np.array(values, kind), lens)
                 yield _arrow({"h": np.concatenate([p[0] for p in parts]), "node": each([p[1] for p in parts], np.int64), "n": each([p[2] for p in parts], np.int32), "wr": each([p[3] for p in parts], np.int32), "wh": each([p[0][-1] for p in parts], np.int64)}, schema)
 
-    return _texts(docs).mapInArrow(run, "h long, node long, n int, wr int, wh long")
+    return _texts(docs).mapInArrow(frugal(run), "h long, node long, n int, wr int, wh long")
 
 
 def _prefix_of(n: Column, percent: int) -> Column:
@@ -219,7 +225,7 @@ def _full_rows(docs: DataFrame, sets: DataFrame, nodes: DataFrame, words: int) -
             got = [g for g in got if g[0] not in seen and not seen.add(g[0])]
             yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary())], names=["node", "s"])
 
-    return _texts(docs).join(keys, "x", "left_semi").mapInArrow(rows, "node long, s binary")
+    return _texts(docs).join(keys, "x", "left_semi").mapInArrow(frugal(rows), "node long, s binary")
 
 
 def _by_group(df: DataFrame, keys: list[str], product, schema: str) -> DataFrame:
@@ -240,7 +246,7 @@ def _by_group(df: DataFrame, keys: list[str], product, schema: str) -> DataFrame
         if held is not None and held.num_rows:
             yield from product(held).to_batches()
 
-    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(frugal(run), schema)
 
 
 def _possible(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits
+from .common import arrow_limits, frugal
 
 #: Labelled texts of each label that training sees at most, and the passes over them.
 PER_LABEL, PASSES, BATCH, RATE = 700, 8, 64, 0.01
@@ -164,4 +164,4 @@ def score_documents(df: DataFrame, net: Net | float, text_col: str = "text", kee
             got = np.full(len(texts), shared.value) if isinstance(shared.value, float) else score(shared.value, texts)
             yield pa.RecordBatch.from_arrays([*(batch.column(f"c{i}") for i in range(len(keep))), pa.array(got, pa.float64())], names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema).toDF(*keep, "score")
+    return src.mapInArrow(frugal(run), schema).toDF(*keep, "score")

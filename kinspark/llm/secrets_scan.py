@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits
+from .common import arrow_limits, frugal
 
 KINDS = ("assign", "access", "hex", "github", "npm", "key")
 _BASE = KINDS[:3]
@@ -144,7 +144,7 @@ def scan_documents(df: DataFrame, text_col: str = "text", keep: tuple[str, ...]
             cols.append(pa.array([redact(t, s) if s else None for t, s in zip(texts, spans, strict=True)], pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema).toDF(*keep, *schema.fieldNames()[len(keep) :])
+    return src.mapInArrow(frugal(run), schema).toDF(*keep, *schema.fieldNames()[len(keep) :])
 
 
 def redact_documents(df: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
@@ -168,4 +168,4 @@ def redact_documents(df: DataFrame, text_col: str = "text", chars_col: str = "n_
                 cols[chars] = pa.array([n if a is b or a == b else len(b) for a, b, n in zip(texts, new, old, strict=True)], cols[chars].type)
             yield pa.RecordBatch.from_arrays(cols, names=schema.fieldNames())
 
-    return src.mapInArrow(run, schema).toDF(*names)
+    return src.mapInArrow(frugal(run), schema).toDF(*names)

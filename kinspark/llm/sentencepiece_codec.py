@@ -3,7 +3,7 @@
 Encoding keeps a score-ordered agenda of adjacent symbol pairs: the pair whose union has the best score is merged first,
 the leftmost of equal scores, and its new neighbours join the agenda. Texts are cut where no piece of the vocabulary can
 reach across (before a run of spaces, around characters that occur in no longer piece), so equal chunks are encoded
-once per worker. In each Arrow batch the chunks met for the first time, and some whole texts, are encoded by the
+once per task. In each Arrow batch the chunks met for the first time, and some whole texts, are encoded by the
 sentencepiece library too; a difference raises an error. Decoding is the library's own.
 
 Defined cases: null is the empty text; the empty text has only the begin and end ids and decodes to the empty text.
@@ -21,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_limits
+from .common import arrow_limits, frugal
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
-#: Chunks of each of the two generations that a worker remembers, the longest worth remembering, and the whole texts of
+#: Chunks of each of the two generations that a task remembers, the longest worth remembering, and the whole texts of
 #: a batch that are checked.
 CACHE, LONGEST, WHOLE = 250_000, 48, 2
 #: Symbols up to which the agenda is a plain list, and the cost of a pair that makes no piece.
@@ -80,6 +80,11 @@ class _Known(dict):
             self.old = dict(self)
             self.clear()
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+        self.fresh.clear()
+
 
 class Codec:
     """Encoder of one model. begin and end are the ids around each text."""
@@ -230,6 +235,12 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
 
     def run(batches):
         c = codec(shared.value)
+        try:
+            yield from encoded(c, batches)
+        finally:  # Spark keeps the worker for tasks of other stages
+            c.known.forget()
+
+    def encoded(c, batches):
         for batch in batches:
             texts = batch.column("t").to_pylist()
             enc = [c.encode(t) for t in texts]
@@ -251,4 +262,4 @@ def encode_documents(df: DataFrame, model: bytes, text_col: str = "text", keep:
 
     for f in schema.fields:
         f.nullable = True
-    return src.mapInArrow(run, schema).toDF(*keep, *schema.fieldNames()[len(keep) :])
+    return src.mapInArrow(frugal(run), schema).toDF(*keep, *schema.fieldNames()[len(keep) :])
