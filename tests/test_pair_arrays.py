@@ -52,3 +52,15 @@ def test_levenshtein_of_many():
         return row[-1]
 
     assert metrics.levenshteins(a, b) == [one(x, y) for x, y in zip(a, b)]
+
+
+def test_features_in_the_workers_of_candidates(spark, sf):
+    s1, rec, _, sizes = linkage.prepared(spark, sf)
+    made = linkage.pair_features(spark, sf)
+    assert "Aggregate" not in made._jdf.queryExecution().executedPlan().toString()  # no pair is gathered by its record
+    apart = features.compute_by_record(linkage.four_way_candidates(spark, sf).filter("kept"), s1, rec, sizes)
+    assert made.schema.simpleString() == apart.schema.simpleString()
+    want, got = _rows(apart), _rows(made)
+    assert set(want) == set(got) and len(want) > 5000 and {r.rec_source for r in got.values()} == {2.0, 3.0}
+    differ = sum(x != y and not (x is not None and y is not None and math.isclose(x, y, abs_tol=1e-6)) for pair, row in want.items() for x, y in zip(row[2:], got[pair][2:]))
+    assert differ <= len(want) / 1000  # places of neighbours whose likenesses differ by less than a hundred-thousandth
